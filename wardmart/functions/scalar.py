@@ -74,6 +74,10 @@ def months_before(as_of: Column, months: int) -> Column:
     return F.add_months(as_of, -months)
 
 
+def rows() -> Column:
+    return F.count(F.lit(1))
+
+
 def count_where(condition: Column) -> Column:
     """How many rows meet the condition, 0 for none (NULL counts as not met)."""
     return F.count(F.when(condition, F.lit(1)))

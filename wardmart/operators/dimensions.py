@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardmart.functions.keys import ROW_ID
+
 c = F.col
 
 # Calendar range, validity start and Indonesian names.
@@ -162,4 +164,4 @@ def _first_version() -> list[Column]:
 
 
 def _row_id(df: DataFrame) -> list[str]:
-    return [name for name in df.columns if name == "_row_id"]
+    return [name for name in df.columns if name == ROW_ID]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardmart.functions.keys import ROW_ID
 from wardmart.functions.scalar import date_or_null, int_or_null, money_or_null, time_of_day
 
 c = F.col
@@ -172,6 +173,7 @@ def stg_ruangan(roms: DataFrame, dpmt: DataFrame) -> DataFrame:
         c("RTYPE_CD").alias("kode_tipe"),
         c("RTYPE_DES").alias("deskripsi_tipe"),
         int_or_null(c("CPCT_NO")).alias("kapasitas"),
+        *[name for name in roms.columns if name == ROW_ID],
     )
 
 

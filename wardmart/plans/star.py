@@ -101,6 +101,9 @@ class Star:
             self._tables[name] = self._build(name)
         return self._tables[name]
 
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.table(name)
+
     def tables(self, names: tuple[str, ...] = MARTS) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in names}
 
@@ -124,7 +127,9 @@ class Star:
             departments = with_row_id(self.staging("stg_departemen"))
             return self._dimension(name, dimensions.dim_departemen(departments), "dep_id")
         if name == "dim_ruangan":
-            rooms = self.staging("stg_ruangan")
+            rooms = staging.stg_ruangan(
+                with_row_id(self.raw["stg_ehp__roms"]), self.raw["stg_ehp__dpmt"]
+            )
             return self._dimension(name, dimensions.dim_ruangan(rooms), "rom_id")
         if name == "kunjungan_keyed":
             keyed = facts.keyed_visits(
