@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,8 @@ KEYS = {
     "fct_tindakan_medis": "tindakan_key",
 }
 
+KEYED_VISITS = "kunjungan_keyed"
+
 LOAD_COLUMNS = ("dw_load_date", "dw_updated_date")
 
 
@@ -53,7 +56,7 @@ class Star:
         self.load_ts = load_ts or datetime.now(timezone.utc)
         self.rows_per_task = rows_per_task
         self._tables: dict[str, DataFrame] = {}
-        self._hot_visits: dict[object, int] | None = None
+        self._hot_visits: dict[object, int] = {}
 
     # staging and intermediate: lazy
 
@@ -86,7 +89,7 @@ class Star:
     def enriched_visits(self) -> DataFrame:
         """Visits with keys and nearest appointment, from the stored keyed visits."""
         return intermediate.int_kunjungan_enriched(
-            with_row_id(self.table("kunjungan_keyed")),
+            with_row_id(self.table(KEYED_VISITS)),
             self.staging("stg_appointment"),
             self.rows_per_task,
         )
@@ -97,6 +100,8 @@ class Star:
     # stored tables
 
     def table(self, name: str) -> DataFrame:
+        if name in FACTS and KEYED_VISITS not in self._tables:
+            self.build((name,))
         if name not in self._tables:
             self._tables[name] = self._build(name)
         return self._tables[name]
@@ -104,12 +109,21 @@ class Star:
     def __getitem__(self, name: str) -> DataFrame:
         return self.table(name)
 
-    def tables(self, names: tuple[str, ...] = MARTS) -> dict[str, DataFrame]:
+    def build(self, names: tuple[str, ...] = MARTS) -> dict[str, DataFrame]:
+        """Store the named marts. Those that do not depend on each other run side by side,
+        so the short tail of one leaves no executor idle.
+        """
+        facts_wanted = [n for n in names if n in FACTS]
+        dimensions_wanted = DIMENSIONS if facts_wanted else names
+        layers = (dimensions_wanted, [KEYED_VISITS] if facts_wanted else [], facts_wanted)
+        for layer in layers:
+            with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as jobs:
+                list(jobs.map(self.table, layer))
         return {name: self.table(name) for name in names}
 
     def sql(self, text: str) -> DataFrame:
         """Ad-hoc SQL over the marts, each visible under its own name."""
-        for name, df in self.tables().items():
+        for name, df in self.build().items():
             df.createOrReplaceTempView(name)
         return self.spark.sql(text)
 
@@ -131,14 +145,17 @@ class Star:
                 with_row_id(self.raw["stg_ehp__roms"]), self.raw["stg_ehp__dpmt"]
             )
             return self._dimension(name, dimensions.dim_ruangan(rooms), "rom_id")
-        if name == "kunjungan_keyed":
+        if name == KEYED_VISITS:
+            self.build(DIMENSIONS)
             keyed = facts.keyed_visits(
                 self.visits_with_doctor(),
                 self.table("dim_pasien"),
                 self.table("dim_dokter"),
                 self.rooms(),
             )
-            return self.store.write(name, keyed)
+            table = self.store.write(name, keyed)
+            self._hot_visits = hot_keys(table, "refr_no", self.rows_per_task)
+            return table
         if name == "fct_kunjungan":
             fact = facts.fct_kunjungan(self.enriched_visits(), self.table("dim_tanggal"))
             return self._fact(name, fact, ["refr_no"], facts.FCT_KUNJUNGAN)
@@ -148,7 +165,7 @@ class Star:
                 self._visit_keys(),
                 self.rooms(),
                 self.table("dim_tanggal"),
-                self._hot_visit_numbers(),
+                self._hot_visits,
             )
             return self._fact(name, fact, ["refr_no", "urutan_diagnosis"], facts.FCT_DIAGNOSIS)
         if name == "fct_tindakan_medis":
@@ -156,22 +173,16 @@ class Star:
                 with_row_id(self.staging("stg_tindakan_medis")),
                 self._visit_keys(),
                 self.table("dim_tanggal"),
-                self._hot_visit_numbers(),
+                self._hot_visits,
             )
             return self._fact(name, fact, ["refr_no", "urutan_tindakan"], facts.FCT_TINDAKAN_MEDIS)
         raise KeyError(name)
 
     def _visit_keys(self) -> DataFrame:
         keys = ("refr_no", "pasien_key", "dokter_key", "ruangan_key", "departemen_key")
-        rows = with_row_id(self.table("kunjungan_keyed").select(*keys))
+        rows = with_row_id(self.table(KEYED_VISITS).select(*keys))
         return rows.withColumnRenamed(ROW_ID, facts.VISIT_ROW)
 
-    def _hot_visit_numbers(self) -> dict[object, int]:
-        if self._hot_visits is None:
-            keyed = self.table("kunjungan_keyed")
-            self._hot_visits = hot_keys(keyed, "refr_no", self.rows_per_task)
-        return self._hot_visits
-
     def _dimension(self, name: str, attributes: DataFrame, natural_key: str) -> DataFrame:
         columns = [col for col in attributes.columns if col != ROW_ID]
         order = facts.key_order([natural_key], columns)
