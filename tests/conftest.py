@@ -18,7 +18,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, partitions=4)
+    session = local_session(8, partitions=4, **{"spark.sql.maxMetadataStringLength": "2000"})
     yield session
     session.stop()
 

@@ -35,7 +35,7 @@ def source_files(spark: SparkSession, archive: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def read_csv(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, paths: list[str], schema: T.StructType | str) -> DataFrame:
     """Rows that fit the schema in every column; a row that does not is dropped whole.
 
     Take all columns of the result: Spark parses only the selected ones, so a bad
