@@ -305,10 +305,17 @@ def _monthly(m: Marts, visits: DataFrame, total: str, inpatient: str, outpatient
     days = visits.groupBy("tanggal_masuk_key").agg(
         rows().alias(total), *_in_and_out(inpatient, outpatient)
     )
-    months = days.join(_calendar(m, MONTH), "tanggal_masuk_key").groupBy(*MONTH)
-    return months.agg(*[F.sum(n).alias(n) for n in (total, inpatient, outpatient)]).orderBy(
-        *in_order("tahun", "bulan")
-    )
+    return _months(m, days, total, inpatient, outpatient)
+
+
+def _months(m: Marts, days: DataFrame, *counts: str) -> DataFrame:
+    """Daily counts summed per month, in order.
+
+    There are at most as many rows as calendar days, so they go to one task: months
+    and their order then need no further shuffle.
+    """
+    months = days.repartition(1).join(_calendar(m, MONTH), "tanggal_masuk_key").groupBy(*MONTH)
+    return months.agg(*[F.sum(n).alias(n) for n in counts]).orderBy(*in_order("tahun", "bulan"))
 
 
 def _per_department(m: Marts) -> DataFrame:
@@ -373,7 +380,4 @@ def _conversion(m: Marts, total: str) -> DataFrame:
         .groupBy("tanggal_masuk_key")
         .agg(rows().alias(total), count_where(c("is_appointment_converted")).alias("total_converted"))
     )
-    months = days.join(_calendar(m, MONTH), "tanggal_masuk_key").groupBy(*MONTH)
-    return months.agg(F.sum(total).alias(total), F.sum("total_converted").alias("total_converted")).orderBy(
-        *in_order("tahun", "bulan")
-    )
+    return _months(m, days, total, "total_converted")

@@ -159,8 +159,8 @@ def join_fallback_lookup(star: Star) -> DataFrame:
 def anti_join_orphans(star: Star) -> DataFrame:
     """References without a target. A NULL reference counts, as in LEFT JOIN ... IS NULL.
 
-    References are counted by value before the anti join, so a placeholder held by
-    many rows moves once.
+    Both sides are reduced to distinct values before they are shuffled, so a value
+    held by many rows moves once.
     """
     links = {
         "kunjungan-pasien": ("stg_kunjungan", "pat_id", "stg_pasien", "pat_id"),
@@ -171,7 +171,7 @@ def anti_join_orphans(star: Star) -> DataFrame:
     parts = []
     for name, (child, reference, parent, key) in links.items():
         used = star.staging(child).groupBy(c(reference).alias("ref")).agg(rows().alias("n"))
-        known = star.staging(parent).select(c(key).alias("ref"))
+        known = star.staging(parent).select(c(key).alias("ref")).distinct()
         missing = used.join(known, "ref", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
         parts.append(missing.select(F.lit(name).alias("hubungan"), c("n").alias("jumlah_yatim")))
     return reduce(DataFrame.unionByName, parts)
