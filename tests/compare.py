@@ -31,8 +31,6 @@ def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def plain(value: object) -> object:
-    if isinstance(value, float):
-        return round(value, 9)
     if isinstance(value, Decimal):
         return ("dec", str(value))
     if isinstance(value, datetime | date):

@@ -16,8 +16,8 @@ from wardmart.functions.skew import ROWS_PER_TASK, every_share, hot_keys, share_
 c = F.col
 
 DAYS = 30
-_CELL = DAYS + 1
-"""Cell width: the days [d-30, d] of a visit lie in its own cell and the one before."""
+_CELL = 4 * (DAYS + 1)
+"""Cell width in days. Wider cells repeat fewer appointments, narrower ones hold fewer times."""
 
 PAYLOAD = [
     "appt_refr_no",
@@ -40,18 +40,20 @@ def nearest_appointment(
 
     The nearest one is either the last at or before the visit or the first after
     it. Sorting visits and appointments of a patient together gives both to every
-    visit in one pass. Patients are cut into 31-day cells, appointments standing
-    in two of them. Patients with very many visits are dealt over several shares,
+    visit in one pass. Patients are cut into cells of some months; an appointment
+    stands in each cell that a visit in its 30 days can fall into, its own and at
+    times the next. Patients with very many visits are dealt over several shares,
     each with all of the patient's appointment times in the cell.
     """
     rows = visits.where(c("pat_id").isNotNull() & c("waktu_masuk").isNotNull())
     hot = hot_keys(rows, "pat_id", rows_per_task)
     dealt = share_of_row(c(ROW_ID), c("pat_id"), hot) if hot else F.lit(0)
     repeated = every_share(c("pat_id"), hot) if hot else F.lit(0)
+    booked = c("waktu_appointment").cast("date")
 
     visit_events = rows.select(
         "pat_id",
-        _cell(c("waktu_masuk")).alias("cell"),
+        _cell(c("waktu_masuk").cast("date")).alias("cell"),
         dealt.alias("share"),
         c("waktu_masuk").alias("at"),
         F.lit(1).alias("kind"),
@@ -59,12 +61,11 @@ def nearest_appointment(
     )
     appointment_events = (
         _one_per_moment(appointments)
-        .withColumn("cell", _cell(c("waktu_appointment")))
         .select(
             "pat_id",
             "waktu_appointment",
             "best",
-            F.explode(F.array(c("cell"), c("cell") + 1)).alias("cell"),
+            F.explode(F.sequence(_cell(booked), _cell(F.date_add(booked, DAYS)))).alias("cell"),
         )
         .select(
             "pat_id",
@@ -135,15 +136,15 @@ def appointments_in_reach(visits: DataFrame, appointments: DataFrame) -> DataFra
     )
 
 
-def _cell(at: Column) -> Column:
-    return F.floor(F.unix_date(at.cast("date")) / _CELL)
+def _cell(day: Column) -> Column:
+    return F.floor(F.unix_date(day) / _CELL)
 
 
 def _one_per_moment(appointments: DataFrame) -> DataFrame:
     """Of a patient's appointments at the same moment only the tie winner can be nearest.
 
     Combined before the shuffle. It also bounds what a patient can bring into a
-    cell: the distinct times of 31 days.
+    cell: its distinct times.
     """
     named = appointments.select(
         "pat_id",
