@@ -8,9 +8,11 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-from wardmart.plans.star import Star
+from wardmart.plans.catalog import listing, publish
+from wardmart.plans.refresh import refresh
+from wardmart.plans.star import MARTS
 from wardmart.session import table_root
-from wardmart.sources.ingest import ingest, read_csv, require_rows, row_counts, source_files
+from wardmart.sources.ingest import read_csv, require_rows, row_counts, source_files
 from wardmart.sources.projections import raw_tables
 from wardmart.sources.schemas import RAW_FILES, raw_schema
 from wardmart.sources.store import TableStore
@@ -84,13 +86,20 @@ def test_sizes_of_all_eleven_files(spark, archive):
 
 def test_archive_to_star(spark, archive, star):
     """From CSV the facts have the same rows as from the projections."""
-    store = TableStore(spark, table_root(spark))
-    raw = ingest(spark, archive, store)
-    assert store.names() == sorted(RAW_FILES)
-    built = Star(raw, store)
+    built, tests = refresh(spark, archive, table_root(spark))
+    assert set(RAW_FILES) <= set(built.store.names())
+    assert tests.count() == 75
+    assert tests.where("status = 'fail'").isEmpty()
     for mart in ("fct_kunjungan", "fct_diagnosis", "fct_tindakan_medis"):
         # Staff with an unreadable hire date are bad CSV rows, so doctors and keys differ.
         order = [n for n in star.table(mart).columns if not n.endswith(("_key", "_date"))]
         got, wanted = built.table(mart).select(*order), star.table(mart).select(*order)
         assert got.exceptAll(wanted).isEmpty()
         assert wanted.exceptAll(got).isEmpty()
+
+    publish(built)
+    assert listing(built) == sorted(MARTS)
+    assert listing(built, "raw") == sorted(RAW_FILES)
+    visits = spark.sql("select count(*) as n from analytics_marts.fct_kunjungan").first()["n"]
+    assert visits == star.table("fct_kunjungan").count()
+    assert spark.table("int_dokter_per_kunjungan").count() == spark.table("stg_kunjungan").count()
