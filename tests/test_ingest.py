@@ -103,3 +103,6 @@ def test_archive_to_star(spark, archive, star):
     visits = spark.sql("select count(*) as n from analytics_marts.fct_kunjungan").first()["n"]
     assert visits == star.table("fct_kunjungan").count()
     assert spark.table("int_dokter_per_kunjungan").count() == spark.table("stg_kunjungan").count()
+    assert "dw_load_date" in spark.table("stg_departemen").columns
+    assert not [n for n in spark.table("int_kunjungan_enriched").columns if n.endswith("_key")]
+    assert "_row_id" not in spark.table("int_pasien_dengan_asuransi").columns

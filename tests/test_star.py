@@ -69,7 +69,8 @@ def skewed(spark, star):
         }
     )
     few = hot.where("REFR_NO in ('W10', 'W11', 'W12')").withColumn("REFR_NO", F.lit("W8"))
-    copies = spark.range(60).crossJoin(hot.where("REFR_NO = 'W20'")).drop("id")
+    sixty = F.explode(F.sequence(F.lit(1), F.lit(60)))
+    copies = hot.where("REFR_NO = 'W20'").withColumn("n", sixty).drop("n")
     raw["stg_ehp__vist"] = hot.unionByName(few).unionByName(copies)
     appointments = raw["stg_ehp__appt"]
     raw["stg_ehp__appt"] = appointments.withColumn(
@@ -110,6 +111,29 @@ def with_models(name):
     return f"with {ctes}\nselect * from {name}"
 
 
+def test_other_session_settings_give_the_same_facts(spark, star):
+    """Many partitions, no adaptive execution, no ANSI mode and another time zone."""
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "23",
+        "spark.sql.ansi.enabled": "false",
+        "spark.sql.session.timeZone": "America/New_York",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        built = Star(star.raw, TableStore(spark, table_root(spark)))
+        for fact in FACTS:
+            got, wanted = (s.table(fact).drop("dw_load_date") for s in (built, star))
+            assert got.exceptAll(wanted).isEmpty()
+            assert wanted.exceptAll(got).isEmpty()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_fact_columns_are_listed_once():
     for columns in (facts.FCT_KUNJUNGAN, facts.FCT_DIAGNOSIS, facts.FCT_TINDAKAN_MEDIS):
         assert len(columns) == len(set(columns))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardmart.plans.registry import STAGING
+from wardmart.plans.registry import INTERMEDIATE, QUERIES, STAGING
 from wardmart.plans.star import Star
 
 # Layer names.
@@ -27,9 +27,8 @@ def publish(star: Star) -> None:
         spark.sql(f"analyze table {MARTS}.{name} compute statistics")
     for name in STAGING:
         star.staging(name).createOrReplaceTempView(name)
-    star.insured_patients().createOrReplaceTempView("int_pasien_dengan_asuransi")
-    star.visits_with_doctor().createOrReplaceTempView("int_dokter_per_kunjungan")
-    star.enriched_visits().createOrReplaceTempView("int_kunjungan_enriched")
+    for name in INTERMEDIATE:
+        QUERIES[name](star).createOrReplaceTempView(name)
 
 
 def listing(star: Star, database: str = MARTS) -> list[str]:

@@ -34,9 +34,15 @@ STAGING = (
     "stg_asuransi",
 )
 
+INTERMEDIATE = (
+    "int_pasien_dengan_asuransi",
+    "int_dokter_per_kunjungan",
+    "int_kunjungan_enriched",
+)
+
 
 def _staging(name: str, star: Star) -> DataFrame:
-    return star.staging(name)
+    return star.staging(name).drop(*LOAD_COLUMNS)
 
 
 def _mart(name: str, star: Star) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardmart.functions.keys import ROW_ID, dense_key, with_row_id, with_unknown
@@ -33,6 +33,9 @@ KEYS = {
 
 KEYED_VISITS = "kunjungan_keyed"
 
+STAMPED = ("stg_departemen", "stg_ruangan")
+"""Staging tables that carry their load time."""
+
 LOAD_COLUMNS = ("dw_load_date", "dw_updated_date")
 
 
@@ -61,8 +64,12 @@ class Star:
     # staging and intermediate: lazy
 
     def staging(self, name: str) -> DataFrame:
+        staged = self._staging_builders()[name]()
+        return staged.withColumn("dw_load_date", self._stamp()) if name in STAMPED else staged
+
+    def _staging_builders(self) -> dict[str, Callable[[], DataFrame]]:
         raw = self.raw
-        builders: dict[str, Callable[[], DataFrame]] = {
+        return {
             "stg_pasien": lambda: staging.stg_pasien(raw["stg_ehp__patn"]),
             "stg_kunjungan": lambda: staging.stg_kunjungan(raw["stg_ehp__vist"]),
             "stg_appointment": lambda: staging.stg_appointment(raw["stg_ehp__appt"]),
@@ -74,7 +81,9 @@ class Star:
             "stg_tim_medis": lambda: staging.stg_tim_medis(raw["stg_ehp__medt"]),
             "stg_asuransi": lambda: staging.stg_asuransi(raw["stg_ehp__insr"]),
         }
-        return builders[name]()
+
+    def _stamp(self) -> Column:
+        return F.lit(self.load_ts)
 
     def insured_patients(self) -> DataFrame:
         return intermediate.int_pasien_dengan_asuransi(
@@ -188,7 +197,7 @@ class Star:
         order = facts.key_order([natural_key], columns)
         keyed = self._stamped(name, dense_key(self.store, name, attributes, order, KEYS[name]))
         unknown = dimensions.UNKNOWN[name] | {
-            col: F.lit(self.load_ts) for col in LOAD_COLUMNS if col in keyed.columns
+            col: self._stamp() for col in LOAD_COLUMNS if col in keyed.columns
         }
         return self._replace(name, with_unknown(keyed, unknown))
 
@@ -198,10 +207,9 @@ class Star:
         return self._replace(name, self._stamped(name, keyed))
 
     def _stamped(self, name: str, df: DataFrame) -> DataFrame:
-        stamp = F.lit(self.load_ts)
-        df = df.withColumn("dw_load_date", stamp)
+        df = df.withColumn("dw_load_date", self._stamp())
         overwritten = name in ("dim_departemen", "dim_ruangan")
-        return df.withColumn("dw_updated_date", stamp) if overwritten else df
+        return df.withColumn("dw_updated_date", self._stamp()) if overwritten else df
 
     def _replace(self, name: str, df: DataFrame) -> DataFrame:
         table = self.store.write(name, df)
