@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from wardmart.functions.skew import hot_keys, left_join_spread
+from wardmart.functions.skew import hot_keys, left_join_dealt, left_join_spread
 
 
 def visits(spark, rows=3000):
@@ -17,6 +17,7 @@ def visits(spark, rows=3000):
 
 def test_hot_keys_and_their_shares(spark):
     assert hot_keys(visits(spark), "k", rows_per_task=250) == {"hot": 4}
+    assert hot_keys(visits(spark), "k", rows_per_task=150) == {"hot": 7, None: 2}
     assert hot_keys(visits(spark), "k") == {}
 
 
@@ -37,6 +38,43 @@ def test_spread_join_is_a_left_join(spark, rows_per_task):
     assert wanted.exceptAll(got).isEmpty()
 
 
+@pytest.mark.parametrize("rows_per_task", [50, 250, 10_000])
+def test_dealt_join_is_a_left_join(spark, rows_per_task):
+    left = visits(spark).withColumn("_row", F.monotonically_increasing_id())
+    names = ["hot", *[f"v{i}" for i in range(0, 400, 3)], "absent"]
+    right = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "k string, key int")
+    hot = hot_keys(left, "k", rows_per_task)
+    got = left_join_dealt(left, right, "k", "_row", hot)
+    wanted = left.join(right, "k", "left")
+    assert got.columns == wanted.columns
+    assert got.exceptAll(wanted).isEmpty()
+    assert wanted.exceptAll(got).isEmpty()
+
+
+def test_dealt_join_spreads_hot_and_missing_keys(spark):
+    """No task of the shuffled join gets a third of the rows any more."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "40",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        left = visits(spark, 30_000).withColumn("_row", F.monotonically_increasing_id())
+        right = left.groupBy("k").agg(F.min("v").alias("first"))
+        for hot, most in (({}, 9_000), (hot_keys(left, "k", 500), 2_500)):
+            joined = left_join_dealt(left, right, "k", "_row", hot)
+            parts = joined.groupBy(F.spark_partition_id())
+            sizes = parts.agg(F.count("*").alias("count"), F.max("first")).collect()
+            assert sum(r["count"] for r in sizes) == 30_000
+            assert (max(r["count"] for r in sizes) > most) == (not hot)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_adaptive_execution_splits_a_skewed_left_side(spark):
     """The plain lookups rely on this: with low thresholds the skewed partition is split."""
     settings = {

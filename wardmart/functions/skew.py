@@ -21,22 +21,20 @@ TRACKED = 1_000
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> dict[object, int]:
     """Keys with more rows than one task should take, and into how many shares to split them.
 
-    One aggregate over one column: a fixed-size sketch per task, one row back.
+    One aggregate over one column: a fixed-size sketch per task, one row back. None
+    stands for rows without a key.
     """
-    sketch = f"approx_top_k({key}, {TRACKED}, {TRACKED * 10})"
-    top = df.where(F.col(key).isNotNull()).agg(F.expr(sketch).alias("top")).first()["top"]
-    return {
-        item["item"]: math.ceil(item["count"] / rows_per_task)
-        for item in top or []
-        if item["count"] > rows_per_task
-    }
+    sketch = f"approx_top_k({key}, {TRACKED}, {TRACKED * 10}) filter (where {key} is not null)"
+    row = df.agg(F.expr(sketch).alias("top"), F.count_if(F.col(key).isNull()).alias("none")).first()
+    found = {item["item"]: item["count"] for item in row["top"] or []} | {None: row["none"]}
+    return {k: math.ceil(n / rows_per_task) for k, n in found.items() if n > rows_per_task}
 
 
 def shares_of(key: Column, hot: dict[object, int]) -> Column:
     """Number of shares for a row's key, 1 for keys that are not hot."""
-    if not hot:
-        return F.lit(1)
-    return F.coalesce(F.element_at(_literal_map(hot), key), F.lit(1))
+    known = _without_null(hot)
+    shares = F.coalesce(F.element_at(_literal_map(known), key), F.lit(1)) if known else F.lit(1)
+    return F.when(key.isNull(), F.lit(hot[None])).otherwise(shares) if None in hot else shares
 
 
 def share_of_row(row_id: Column, key: Column, hot: dict[object, int]) -> Column:
@@ -53,6 +51,22 @@ def every_share(key: Column, hot: dict[object, int]) -> Column:
     return F.explode(F.sequence(F.lit(0), shares_of(key, hot) - 1))
 
 
+def left_join_dealt(
+    left: DataFrame, right: DataFrame, key: str, row_id: str, hot: dict[object, int]
+) -> DataFrame:
+    """Left join where ``left`` may be full of the ``hot`` keys and ``right`` has one row per key.
+
+    For a right side that comes out of an aggregate: adaptive execution splits only
+    joins that read both sides straight from a shuffle. Left rows are dealt over the
+    shares of their key, also those without a key; the few right rows are repeated.
+    """
+    if not hot:
+        return left.join(right, key, "left")
+    dealt = left.withColumn("_share", share_of_row(F.col(row_id), F.col(key), hot))
+    repeated = right.withColumn("_share", every_share(F.col(key), hot))
+    return dealt.join(repeated, [key, "_share"], "left").drop("_share")
+
+
 def left_join_spread(
     left: DataFrame,
     right: DataFrame,
@@ -67,6 +81,7 @@ def left_join_spread(
     need no outer join: they join inner on (key, share), right rows dealt out
     over the shares and left rows repeated per share.
     """
+    hot = _without_null(hot)
     if not hot:
         return left.join(right.drop(right_row_id), key, "left")
     is_hot = F.col(key).isin(list(hot))
@@ -83,5 +98,9 @@ def left_join_spread(
     return usual.unionByName(heavy)
 
 
+def _without_null(hot: dict[object, int]) -> dict[object, int]:
+    return {key: shares for key, shares in hot.items() if key is not None}
+
+
 def _literal_map(hot: dict[object, int]) -> Column:
     return F.create_map(*[F.lit(part) for pair in hot.items() for part in pair])

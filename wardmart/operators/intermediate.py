@@ -1,12 +1,16 @@
-"""Joins between staged entities: policy per patient, doctor per visit, appointment per visit."""
+"""Joins between staged entities: policy per patient, doctor per visit, appointment per visit.
+
+The left sides carry a row id from their scan, for dealing out hot keys.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardmart.functions.keys import ROW_ID
 from wardmart.functions.scalar import hours_between
-from wardmart.functions.skew import ROWS_PER_TASK
+from wardmart.functions.skew import ROWS_PER_TASK, hot_keys, left_join_dealt
 from wardmart.operators.nearest import PAYLOAD, nearest_appointment
 
 c = F.col
@@ -29,9 +33,12 @@ def best_policy(policies: DataFrame) -> DataFrame:
     )
 
 
-def int_pasien_dengan_asuransi(patients: DataFrame, policies: DataFrame) -> DataFrame:
+def int_pasien_dengan_asuransi(
+    patients: DataFrame, policies: DataFrame, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     kept = patients.drop("kode_jenis_kelamin", "ingst_tmstmp")
-    return kept.join(best_policy(policies), "pat_id", "left")
+    hot = hot_keys(kept, "pat_id", rows_per_task)
+    return left_join_dealt(kept, best_policy(policies), "pat_id", ROW_ID, hot)
 
 
 def first_doctor(teams: DataFrame) -> DataFrame:
@@ -40,24 +47,36 @@ def first_doctor(teams: DataFrame) -> DataFrame:
     return doctors.groupBy("medt_id").agg(F.min("stf_id").alias("stf_id"))
 
 
-def int_dokter_per_kunjungan(visits: DataFrame, teams: DataFrame) -> DataFrame:
-    joined = visits.join(first_doctor(teams), "medt_id", "left")
+def with_first_doctor(
+    visits: DataFrame, teams: DataFrame, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    hot = hot_keys(visits, "medt_id", rows_per_task)
+    return left_join_dealt(visits, first_doctor(teams), "medt_id", ROW_ID, hot)
+
+
+def int_dokter_per_kunjungan(
+    visits: DataFrame, teams: DataFrame, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    joined = with_first_doctor(visits, teams, rows_per_task)
     doctor = F.coalesce("stf_id", F.lit("UNKNOWN")).alias("stf_id_dokter")
     return joined.select(*visits.columns, doctor)
 
 
 def int_kunjungan_enriched(
-    visits: DataFrame, appointments: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    visits: DataFrame,
+    appointments: DataFrame,
+    hot_visits: dict[object, int],
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Visits with stay length and the nearest appointment of the previous 30 days.
 
     The winner is picked per visit number, so visits sharing a number share it.
-    ``visits`` carries a row id from its scan.
     """
     best = nearest_appointment(visits, appointments, rows_per_task)
     found = c("appt_refr_no").isNotNull()
     completed = F.coalesce("is_appointment_completed", F.lit(False))
-    return visits.join(best.select("refr_no", *PAYLOAD), "refr_no", "left").select(
+    won = best.select("refr_no", *PAYLOAD)
+    return left_join_dealt(visits, won, "refr_no", ROW_ID, hot_visits).select(
         *visits.columns,
         hours_between(c("waktu_masuk"), c("waktu_keluar")).alias("durasi_kunjungan_jam"),
         *[p for p in PAYLOAD if p != "is_appointment_completed"],

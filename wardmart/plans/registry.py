@@ -8,7 +8,8 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardmart.functions.keys import ROW_ID, with_row_id
+from wardmart.functions.keys import ROW_ID
+from wardmart.functions.skew import hot_keys
 from wardmart.operators import quality
 from wardmart.operators.intermediate import int_kunjungan_enriched
 from wardmart.plans import business, dashboard, report, steps
@@ -55,9 +56,10 @@ def _on_marts(query: Callable[..., DataFrame], *args: object) -> Callable[[Star]
 
 
 def _enriched(star: Star) -> DataFrame:
-    visits = with_row_id(star.visits_with_doctor())
-    enriched = int_kunjungan_enriched(visits, star.staging("stg_appointment"), star.rows_per_task)
-    return enriched.drop(ROW_ID)
+    visits = star.visits_with_doctor()
+    hot = hot_keys(star.staging("stg_kunjungan"), "refr_no", star.rows_per_task)
+    appointments = star.staging("stg_appointment")
+    return int_kunjungan_enriched(visits, appointments, hot, star.rows_per_task).drop(ROW_ID)
 
 
 QUERIES: dict[str, Callable[[Star], DataFrame]] = {
@@ -80,7 +82,7 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     **{name: partial(_staging, name) for name in STAGING},
     # intermediate
     "int_pasien_dengan_asuransi": lambda star: star.insured_patients().drop(ROW_ID),
-    "int_dokter_per_kunjungan": lambda star: star.visits_with_doctor(),
+    "int_dokter_per_kunjungan": lambda star: star.visits_with_doctor().drop(ROW_ID),
     "int_kunjungan_enriched": _enriched,
     # dimensions and facts
     "dim_tanggal": _on_marts(report.calendar_use),

@@ -87,12 +87,16 @@ class Star:
 
     def insured_patients(self) -> DataFrame:
         return intermediate.int_pasien_dengan_asuransi(
-            with_row_id(self.staging("stg_pasien")), self.staging("stg_asuransi")
+            with_row_id(self.staging("stg_pasien")),
+            self.staging("stg_asuransi"),
+            self.rows_per_task,
         )
 
     def visits_with_doctor(self) -> DataFrame:
         return intermediate.int_dokter_per_kunjungan(
-            self.staging("stg_kunjungan"), self.staging("stg_tim_medis")
+            with_row_id(self.staging("stg_kunjungan")),
+            self.staging("stg_tim_medis"),
+            self.rows_per_task,
         )
 
     def enriched_visits(self) -> DataFrame:
@@ -100,6 +104,7 @@ class Star:
         return intermediate.int_kunjungan_enriched(
             with_row_id(self.table(KEYED_VISITS)),
             self.staging("stg_appointment"),
+            self._hot_visits,
             self.rows_per_task,
         )
 
@@ -157,7 +162,7 @@ class Star:
         if name == KEYED_VISITS:
             self.build(DIMENSIONS)
             keyed = facts.keyed_visits(
-                self.visits_with_doctor(),
+                self.visits_with_doctor().drop(ROW_ID),
                 self.table("dim_pasien"),
                 self.table("dim_dokter"),
                 self.rooms(),

@@ -102,9 +102,10 @@ def scalar_subquery_month_window(star: Star) -> DataFrame:
 
 
 def join_left_ranked(star: Star) -> DataFrame:
-    doctors = intermediate.first_doctor(star.staging("stg_tim_medis"))
-    visits = star.staging("stg_kunjungan").select("refr_no", "medt_id")
-    return visits.join(doctors, "medt_id", "left").select("refr_no", "medt_id", "stf_id")
+    visits = with_row_id(star.staging("stg_kunjungan").select("refr_no", "medt_id"))
+    teams = star.staging("stg_tim_medis")
+    joined = intermediate.with_first_doctor(visits, teams, star.rows_per_task)
+    return joined.select("refr_no", "medt_id", "stf_id")
 
 
 def join_interval_30d(star: Star) -> DataFrame:
