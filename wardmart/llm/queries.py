@@ -80,7 +80,7 @@ with said as (
     union all values (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
 ), numbered as (
     select *, row_number() over w as n, count(*) over (partition by conv_id) as turns,
-        length(role) + length(said) + 25
+        length(role) + length(said) + 23
             + 4 * length(regexp_replace(role || said, '[^&]', '', 'g'))
             + 3 * length(regexp_replace(role || said, '[^<]', '', 'g'))
             + 5 * length(regexp_replace(role || said, '[^"]', '', 'g')) as chars
