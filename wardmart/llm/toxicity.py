@@ -34,6 +34,9 @@ SUSPECT = 0.3
 PREFIXES = (4, 5, 6, 7)
 """Lengths of word beginnings that are looked at like words."""
 
+SAMPLE = 4_000
+"""Labelled rows that the model is fitted on, at most; their texts come to the driver."""
+
 TRAIN_TOKENS = 100_000
 STEPS = 100
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -163,8 +166,9 @@ def toxic_words(words: Words, toxic: np.ndarray) -> dict[str, int]:
         return {}
     before = np.append(size - 1, np.where(words.doc[1:] == words.doc[:-1], code[:-1], size - 1))
     after = np.append(np.where(words.doc[1:] == words.doc[:-1], code[1:], size - 1), size - 1)
-    _, context = np.unique(before * size + after, return_inverse=True)
+    context = np.unique(before * size + after, return_inverse=True)[1]
     label = toxic[words.doc]
+    del before, after
     found: dict[str, int] = {}
     for width in (None, *PREFIXES):
         keys: dict[str, int] = {}
@@ -213,7 +217,7 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     real_moves = np.array([np.sum((from_toxic == a) & (truth == b)) for a in (0, 1) for b in (0, 1)]).reshape(2, 2)
     real = np.array([c[truth].sum() for c in columns], float)
     weights = np.zeros(FEATURES + 4)
-    mean = square = np.zeros(FEATURES + 4)
+    mean, square = np.zeros(FEATURES + 4), np.zeros(FEATURES + 4)
     for n in range(1, STEPS + 1):  # Adam on the regularised log-likelihood
         emission = sum(w * c for w, c in zip(weights[:FEATURES], columns, strict=True))
         p, moves = chains.marginals(emission, weights[FEATURES:].reshape(2, 2))
@@ -266,8 +270,8 @@ def score_slice(model: Model, texts: pa.Array) -> tuple[np.ndarray, list[str]]:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on at most SAMPLE_ROWS labelled rows that are not held out."""
-    rows = labelled_sample(docs, labels, "toxic").toPandas().sort_values("doc_id")
+    """Fit on at most SAMPLE labelled rows that are not held out."""
+    rows = labelled_sample(docs, labels, "toxic", SAMPLE).toPandas().sort_values("doc_id")
     return fit(rows["text"].tolist(), rows["_label"].to_numpy() > 0.5)
 
 
