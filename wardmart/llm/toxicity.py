@@ -34,7 +34,7 @@ SUSPECT = 0.3
 PREFIXES = (4, 5, 6, 7)
 """Lengths of word beginnings that are looked at like words."""
 
-SAMPLE = 4_000
+SAMPLE = 2_000
 """Labelled rows that the model is fitted on, at most; their texts come to the driver."""
 
 TRAIN_TOKENS = 100_000
