@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from wardmart.plans.registry import QUERIES
 from wardmart.plans.star import Star
 from wardmart.session import local_session, table_root
-from wardmart.sources.projections import raw_tables
+from wardmart.sources.projections import AS_OF, raw_tables
 from wardmart.sources.store import TableStore
 
 RUNS = 3
@@ -52,7 +52,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, partitions=int(cpus) if cpus.isdigit() else 8)
-    star = Star(raw_tables(spark, sf_dir), TableStore(spark, table_root(spark)))
+    star = Star(raw_tables(spark, sf_dir), TableStore(spark, table_root(spark)), as_of=AS_OF)
 
     seconds = {"star_build": timed(star.build)}
     QUERIES["report_status_distribution"](star).collect()

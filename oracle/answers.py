@@ -66,8 +66,9 @@ from hari_kalender h left join stg_kunjungan v on v.tanggal_masuk = h.tanggal gr
     + " + ".join(f"(select count(*) from {mart})" for mart in SURROGATE_KEYS),
     "adhoc_sql_marts": ADHOC_SQL,
     "preview_dim_tanggal": f"""
-select distinct {", ".join("t." + n for n in PREVIEW_COLUMNS["dim_tanggal"])}
-from {ARRIVALS} order by t.tanggal_key limit 10""",
+select {", ".join(PREVIEW_COLUMNS["dim_tanggal"])},
+       (select count(*) from fct_kunjungan f where f.tanggal_masuk_key = t.tanggal_key) as jumlah_kunjungan
+from dim_tanggal t where tanggal_key <> -1 order by tanggal_key limit 10""",
     "preview_dim_departemen": "select * from dim_departemen where departemen_key <> -1",
 }
 for _key, _mart, _limit in [
@@ -343,7 +344,7 @@ order by 2 desc, 1 limit 10""",
     "chart_bq3_table": f"""
 select nama_departemen, sum(total_kunjungan)::bigint as total_kunjungan, sum(avg_los_jam) as avg_los_jam,
        sum(min_los_jam) as min_los_jam, sum(max_los_jam) as max_los_jam
-from ({_LOS_ALL}) group by 1 order by 3 desc, 1 limit 30""",
+from ({_LOS_ALL}) group by 1""",
     "chart_bq4_table": f"""
 select tahun, bulan, nama_bulan, nama_departemen, sum(total_kunjungan)::bigint as total_kunjungan,
        sum(rawat_inap)::bigint as rawat_inap, sum(rawat_jalan)::bigint as rawat_jalan

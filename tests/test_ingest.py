@@ -35,6 +35,18 @@ def test_quotes_and_empty_fields(spark, tmp_path):
     assert list(read_csv(spark, [str(tmp_path / "t.csv")], "a string, b string").first()) == ['x "y", z', None]
 
 
+def test_a_header_in_another_order_is_an_error(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_csv(spark, [str(tmp_path / "t.csv")], "a string, b string").collect()
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n"x\ny",z\nu,v\n')
+    rows = read_csv(spark, [str(tmp_path / "t.csv")], "a string, b string", multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [("x\ny", "z"), ("u", "v")]
+
+
 def test_missing_files_are_all_named(spark, tmp_path):
     with pytest.raises(FileNotFoundError) as error:
         source_files(spark, str(tmp_path))

@@ -18,9 +18,9 @@ def main(archive: str, root: str) -> None:
     spark = SparkSession.builder.appName("wardmart").getOrCreate()
     star, tests = refresh(spark, archive, root)
     tests.where("status = 'fail'").show(100, truncate=False)
-    publish(star)
     quality.summary(star.build()).show(truncate=False)
     quality.require_integrity(star.build())
+    publish(star)
 
 
 if __name__ == "__main__":

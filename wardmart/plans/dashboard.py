@@ -29,10 +29,10 @@ def chart_bq2_top10(m: Marts, limit: int = 10) -> DataFrame:
     return totals.orderBy(*in_order("-total_kunjungan", "nama_departemen")).limit(limit)
 
 
-def chart_bq3_table(m: Marts, limit: int = 30) -> DataFrame:
+def chart_bq3_table(m: Marts) -> DataFrame:
     measures = ["total_kunjungan", "avg_los_jam", "min_los_jam", "max_los_jam"]
     totals = _sums(business.bq3_los_all(m), ["nama_departemen"], measures)
-    return totals.orderBy(*in_order("-avg_los_jam", "nama_departemen")).limit(limit)
+    return totals.orderBy(*in_order("-avg_los_jam", "nama_departemen"))
 
 
 def chart_bq4_table(m: Marts) -> DataFrame:

@@ -15,11 +15,6 @@ from wardmart.operators.intermediate import int_kunjungan_enriched
 from wardmart.plans import business, dashboard, report, steps
 from wardmart.plans.star import LOAD_COLUMNS, Star
 from wardmart.sources.ingest import row_counts
-from wardmart.sources.projections import AS_OF
-
-
-def today() -> Column:
-    return F.lit(AS_OF).cast("date")
 
 
 STAGING = (
@@ -101,7 +96,7 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     # predicates
     "filter_not_null": steps.filter_not_null,
     "like_predicate": steps.like_predicate,
-    "filter_last_12_months": lambda star: steps.filter_last_12_months(star, today()),
+    "filter_last_12_months": lambda star: steps.filter_last_12_months(star, star.as_of),
     "scalar_subquery_month_window": steps.scalar_subquery_month_window,
     # joins
     "join_left_ranked": steps.join_left_ranked,
@@ -125,14 +120,14 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "union_unknown_member": steps.union_unknown_member,
     # scalar functions
     "scalar_strings": steps.scalar_strings,
-    "scalar_dates": lambda star: steps.scalar_dates(star, today()),
+    "scalar_dates": lambda star: steps.scalar_dates(star, star.as_of),
     "scalar_casts": steps.scalar_casts,
     "scalar_math": steps.scalar_math,
     # business questions
-    "bq1_status": lambda star: business.bq1_status(star, today()),
-    "bq1_trend": lambda star: business.bq1_trend(star, today()),
+    "bq1_status": lambda star: business.bq1_status(star, star.as_of),
+    "bq1_trend": lambda star: business.bq1_trend(star, star.as_of),
     "bq1_data_window": _on_marts(business.bq1_data_window),
-    "bq1_bench": lambda star: business.bq1_bench(star, today()),
+    "bq1_bench": lambda star: business.bq1_bench(star, star.as_of),
     "bq2_rank_cross": _on_marts(business.bq2_rank_cross),
     "bq2_rank_window": _on_marts(business.bq2_rank_window),
     "bq2_rank_desc": _on_marts(business.bq2_rank_desc),

@@ -159,10 +159,9 @@ def preview_all(m: Marts, name: str) -> DataFrame:
 
 
 def preview_visit_days(m: Marts, limit: int = 10) -> DataFrame:
-    """The first calendar days on which visits arrived."""
-    arrivals = m["fct_kunjungan"].select(c("tanggal_masuk_key").alias("tanggal_key")).distinct()
-    days = m["dim_tanggal"].where(c("tanggal").isNotNull()).select(*PREVIEW_COLUMNS["dim_tanggal"])
-    return days.join(arrivals, "tanggal_key", "left_semi").orderBy("tanggal_key").limit(limit)
+    """The first calendar days, with the number of visits arriving on each."""
+    days = calendar_use(m).where(c("tanggal_key") != -1).orderBy("tanggal_key").limit(limit)
+    return days.select(*PREVIEW_COLUMNS["dim_tanggal"], "jumlah_kunjungan")
 
 
 def calendar_use(m: Marts) -> DataFrame:

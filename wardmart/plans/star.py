@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from threading import Lock, RLock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from wardmart.functions.keys import ROW_ID, dense_key, with_row_id, with_unknown
 from wardmart.functions.skew import ROWS_PER_TASK, hot_keys
 from wardmart.operators import dimensions, facts, intermediate, staging
 from wardmart.session import table_root
-from wardmart.sources.projections import raw_tables
+from wardmart.sources.projections import AS_OF, raw_tables
 from wardmart.sources.store import TableStore
 
 DIMENSIONS = ("dim_tanggal", "dim_pasien", "dim_dokter", "dim_departemen", "dim_ruangan")
@@ -32,6 +35,7 @@ KEYS = {
 }
 
 KEYED_VISITS = "kunjungan_keyed"
+ROOMS = "kamar"
 
 STAMPED = ("stg_departemen", "stg_ruangan")
 """Staging tables that carry their load time."""
@@ -52,13 +56,17 @@ class Star:
         store: TableStore,
         load_ts: datetime | None = None,
         rows_per_task: int = ROWS_PER_TASK,
+        as_of: str | None = None,
     ):
+        """``as_of`` is the day that "the last 12 months" end on, today by default."""
         self.raw = raw
         self.store = store
         self.spark = store.spark
         self.load_ts = load_ts or datetime.now(timezone.utc)
         self.rows_per_task = rows_per_task
+        self.as_of = F.lit(as_of).cast("date") if as_of else F.current_date()
         self._tables: dict[str, DataFrame] = {}
+        self._locks: defaultdict[str, RLock] = defaultdict(RLock)
         self._hot_visits: dict[object, int] = {}
 
     # staging and intermediate: lazy
@@ -109,15 +117,17 @@ class Star:
         )
 
     def rooms(self) -> DataFrame:
-        return facts.room_lookup(self.table("dim_ruangan"), self.table("dim_departemen"))
+        """Stored, so that its true size decides how facts are joined with it."""
+        return self.table(ROOMS)
 
     # stored tables
 
     def table(self, name: str) -> DataFrame:
         if name in FACTS and KEYED_VISITS not in self._tables:
             self.build((name,))
-        if name not in self._tables:
-            self._tables[name] = self._build(name)
+        with self._locks[name]:
+            if name not in self._tables:
+                self._tables[name] = self._build(name)
         return self._tables[name]
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -132,7 +142,7 @@ class Star:
         layers = (dimensions_wanted, [KEYED_VISITS] if facts_wanted else [], facts_wanted)
         for layer in layers:
             with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as jobs:
-                list(jobs.map(self.table, layer))
+                list(jobs.map(inheritable_thread_target(self.spark)(self.table), layer))
         return {name: self.table(name) for name in names}
 
     def sql(self, text: str) -> DataFrame:
@@ -159,6 +169,9 @@ class Star:
                 with_row_id(self.raw["stg_ehp__roms"]), self.raw["stg_ehp__dpmt"]
             )
             return self._dimension(name, dimensions.dim_ruangan(rooms), "rom_id")
+        if name == ROOMS:
+            lookup = facts.room_lookup(self.table("dim_ruangan"), self.table("dim_departemen"))
+            return self.store.write(name, lookup)
         if name == KEYED_VISITS:
             self.build(DIMENSIONS)
             keyed = facts.keyed_visits(
@@ -223,11 +236,14 @@ class Star:
 
 
 _STARS: dict[tuple[str, str], Star] = {}
+_STARS_LOCK = Lock()
 
 
 def star_for(spark: SparkSession, sf_dir: str) -> Star:
     """The warehouse over the order database in ``sf_dir``, built once per Spark application."""
     at = (spark.sparkContext.applicationId, sf_dir)
-    if at not in _STARS:
-        _STARS[at] = Star(raw_tables(spark, sf_dir), TableStore(spark, table_root(spark)))
+    with _STARS_LOCK:
+        if at not in _STARS:
+            store = TableStore(spark, table_root(spark))
+            _STARS[at] = Star(raw_tables(spark, sf_dir), store, as_of=AS_OF)
     return _STARS[at]

@@ -210,13 +210,20 @@ def surrogate_key_dense(star: Star) -> DataFrame:
 
 
 def window_rank_global(star: Star) -> DataFrame:
+    """Each code's rank by its total, from both ends.
+
+    Ranks are worked out once per different total. Totals add up to the rows, so of n
+    rows there are fewer than sqrt(2n) different ones: only those meet in one task.
+    """
     counts = star.staging("stg_diagnosis").groupBy("kode_diagnosis").agg(rows().alias("total"))
-    return counts.withColumns(
-        {
-            "rank_tertinggi": F.rank().over(Window.orderBy(*in_order("-total"))),
-            "rank_terendah": F.rank().over(Window.orderBy(*in_order("total"))),
-        }
-    )
+    totals = counts.groupBy("total").agg(rows().alias("codes"))
+
+    def rank(*order: str) -> Column:
+        before = Window.orderBy(*in_order(*order)).rowsBetween(Window.unboundedPreceding, -1)
+        return (F.coalesce(F.sum("codes").over(before), F.lit(0)) + 1).cast("int")
+
+    ranks = totals.select("total", rank("-total").alias("rank_tertinggi"), rank("total").alias("rank_terendah"))
+    return counts.join(ranks, "total").select("kode_diagnosis", "total", "rank_tertinggi", "rank_terendah")
 
 
 def window_rank_partitioned(star: Star) -> DataFrame:

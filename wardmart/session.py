@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,12 +30,12 @@ def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> S
 def table_root(spark: SparkSession) -> str:
     """A new folder for this run's tables, below the cluster's shared folder.
 
-    Without ``spark.checkpoint.dir`` only a local master may fall back to the
-    machine's own temporary folder: executors on other machines cannot see it.
+    Without ``spark.checkpoint.dir`` only a plain local master may fall back to the
+    machine's own temporary folder: executors of any other master cannot see it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="wardmart-")
     run = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"

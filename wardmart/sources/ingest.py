@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -35,9 +36,15 @@ def source_files(spark: SparkSession, archive: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def read_csv(spark: SparkSession, paths: list[str], schema: T.StructType | str) -> DataFrame:
+def read_csv(
+    spark: SparkSession, paths: list[str], schema: T.StructType | str, multi_line: bool = False
+) -> DataFrame:
     """Rows that fit the schema in every column; a row that does not is dropped whole.
 
+    A header that does not name the schema's columns in their order is an error.
+    ``multi_line`` is for files with line breaks inside quotes; such a file is read by
+    one task, as it cannot be split.
+
     Take all columns of the result: Spark parses only the selected ones, so a bad
     value in an unselected column would let its row through. ``ingest`` writes the
     table to Parquet before anything else reads it.
@@ -47,17 +54,24 @@ def read_csv(spark: SparkSession, paths: list[str], schema: T.StructType | str)
         .option("header", True)
         .option("mode", "DROPMALFORMED")
         .option("escape", '"')
+        .option("enforceSchema", False)
+        .option("multiLine", multi_line)
         .csv(paths)
     )
 
 
-def ingest(spark: SparkSession, archive: str, store: TableStore) -> dict[str, DataFrame]:
-    """Load every raw table with full refresh and return them by name."""
+def ingest(
+    spark: SparkSession, archive: str, store: TableStore, multi_line: Collection[str] = ()
+) -> dict[str, DataFrame]:
+    """Load every raw table with full refresh and return them by name.
+
+    ``multi_line`` names the tables whose files have line breaks inside quotes.
+    """
     source_files(spark, archive).collect()
     raw = {}
     for name, files in RAW_FILES.items():
         paths = [f"{archive.rstrip('/')}/{f}" for f in files]
-        raw[name] = store.write(name, read_csv(spark, paths, raw_schema(name)))
+        raw[name] = store.write(name, read_csv(spark, paths, raw_schema(name), name in multi_line))
     require_rows(raw)
     return raw
 
