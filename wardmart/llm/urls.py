@@ -23,7 +23,7 @@ CALIBRATION = 5
 """One in so many labelled URLs is kept from the models to calibrate the cut."""
 
 SCORE_BINS = 400
-SCORE_LIMIT = 2.0
+SCORE_LIMIT = 4.0
 """Calibration looks at scores from -SCORE_LIMIT to SCORE_LIMIT in SCORE_BINS steps; those outside go to the ends."""
 
 START = "\u0002"
@@ -121,8 +121,9 @@ def gram_scores(grams: DataFrame, counts: DataFrame) -> DataFrame:
 def cut(scores: DataFrame) -> DataFrame:
     """One row (cut): the score that best parts accepted from rejected labelled URLs.
 
-    Best is the largest sum of the shares on the right side, the lowest such cut. With
-    no labelled URL of one kind all is allowed. Counts are per score bin.
+    Best is the largest sum of the shares on the right side. Of the cuts between the
+    same two bins that hold URLs the middle one is taken, of equal others the lowest.
+    With no labelled URL of one kind all is allowed. Counts are per score bin.
     """
     width = 2 * SCORE_LIMIT / SCORE_BINS
     step = F.floor((F.greatest(F.lit(-SCORE_LIMIT), F.least(F.lit(SCORE_LIMIT), F.col("score"))) + SCORE_LIMIT) / width)
@@ -141,7 +142,10 @@ def cut(scores: DataFrame) -> DataFrame:
         return kept / F.col("all_good") + dropped / F.col("all_bad")
 
     best = F.array_max(F.transform("b", lambda x: F.struct(gain(x.bin).alias("gain"), (-x.bin).alias("bin"))))
-    found = F.when((F.col("all_good") > 0) & (F.col("all_bad") > 0), -best["bin"] * width - SCORE_LIMIT)
+    at = -best["bin"]
+    below = F.array_max(F.filter(F.transform("b", lambda x: x.bin), lambda bin_: bin_ < at)) + 1
+    middle = (at + F.coalesce(below, at)) / 2 * width - SCORE_LIMIT
+    found = F.when((F.col("all_good") > 0) & (F.col("all_bad") > 0), middle)
     return listed.select(F.coalesce(found, F.lit(float("-inf"))).alias("cut"))
 
 
