@@ -1,4 +1,8 @@
-"""Staging: cast, rename and filter the raw tables. Narrow, lazy, one scan each."""
+"""Staging: cast, rename and filter the raw tables. Narrow, lazy, one scan each.
+
+Names, sources and types stand in ``sources.schemas``; here is how they are read, and the
+columns that are worked out.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wardmart.functions.keys import ROW_ID
 from wardmart.functions.scalar import date_or_null, int_or_null, money_or_null, time_of_day
+from wardmart.sources.schemas import STAGED_FROM, staged_columns
 
 c = F.col
 
@@ -16,131 +21,65 @@ def _is(column: str, value: str) -> Column:
     return F.coalesce(c(column) == value, F.lit(False))
 
 
-def _moment(column: str) -> Column:
-    return c(column).try_cast("timestamp_ntz")
+def _moment(column: Column) -> Column:
+    return column.try_cast("timestamp_ntz")
+
+
+READ = {
+    "as_is": lambda column: column,
+    "trimmed": F.trim,
+    "text": lambda column: column.cast("string"),
+    "moment": _moment,
+    "day": lambda column: column.try_cast("date"),
+    "date": date_or_null,
+    "time": lambda column: time_of_day(_moment(column)),
+    "money": money_or_null,
+    "whole": int_or_null,
+}
+
 
+def _staged(name: str, raw: DataFrame, **derived: Column) -> DataFrame:
+    """The fixed columns of a staging table, its flags, and ``derived`` ones; rows without a key go."""
+    _, required, flags = STAGED_FROM[name]
+    columns = [READ[how](c(column)).alias(target) for target, column, how in staged_columns(name)]
+    columns += [_is(*test).alias(flag) for flag, test in flags.items()]
+    columns += [column.alias(target) for target, column in derived.items()]
+    return raw.dropna(subset=list(required)).select(*columns)
 
-def _day(column: str) -> Column:
-    return c(column).try_cast("date")
+
+def _middle_name() -> Column:
+    return F.coalesce(F.trim("M_NAME"), F.lit(""))
 
 
 def stg_pasien(patn: DataFrame) -> DataFrame:
     empty = F.lit("")
-    middle = F.when(c("M_NAME") != "", F.concat("M_NAME", F.lit(" "))).otherwise(empty)
-    full_name = F.concat(
-        F.coalesce("F_NAME", empty), F.lit(" "), middle, F.coalesce("L_NAME", empty)
-    )
-    return patn.where(c("PAT_ID").isNotNull()).select(
-        c("PAT_ID").alias("pat_id"),
-        F.trim("F_NAME").alias("nama_depan"),
-        F.trim(F.coalesce("M_NAME", empty)).alias("nama_tengah"),
-        F.trim("L_NAME").alias("nama_belakang"),
-        F.trim(full_name).alias("nama_lengkap"),
-        c("GEN_CD").alias("kode_jenis_kelamin"),
-        c("GEN_DES").alias("jenis_kelamin"),
-        _day("DT_BRT").alias("tanggal_lahir"),
-        c("CON_NO").alias("nomor_kontak"),
-        c("EM_ADD").alias("email"),
-        c("B_TYPE").alias("golongan_darah"),
-        c("MAR_ST").alias("status_pernikahan"),
-        c("INGST_TMSTMP").alias("ingst_tmstmp"),
-    )
+    middle = F.nullif(c("M_NAME"), empty)
+    names = F.concat_ws(" ", F.coalesce("F_NAME", empty), middle, F.coalesce("L_NAME", empty))
+    return _staged("stg_pasien", patn, nama_tengah=_middle_name(), nama_lengkap=F.trim(names))
 
 
 def stg_kunjungan(vist: DataFrame) -> DataFrame:
-    return vist.where(c("REFR_NO").isNotNull()).select(
-        c("REFR_NO").alias("refr_no"),
-        c("PAT_ID").alias("pat_id"),
-        c("MEDT_ID").alias("medt_id"),
-        _moment("VIS_EN").alias("waktu_masuk"),
-        _moment("VIS_EX").alias("waktu_keluar"),
-        _day("VIS_EN").alias("tanggal_masuk"),
-        _day("VIS_EX").alias("tanggal_keluar"),
-        time_of_day(_moment("VIS_EN")).alias("jam_masuk"),
-        time_of_day(_moment("VIS_EX")).alias("jam_keluar"),
-        c("VSTAT_CD").alias("kode_status"),
-        c("VSTAT_DES").alias("deskripsi_status"),
-        c("VTYPE_CD").alias("kode_tipe"),
-        c("VTYPE_DES").alias("deskripsi_tipe"),
-        c("ROM_ID").alias("rom_id"),
-        _is("VSTAT_DES", "Admitted").alias("is_rawat_inap"),
-    )
+    return _staged("stg_kunjungan", vist)
 
 
 def stg_appointment(appt: DataFrame) -> DataFrame:
-    return appt.where(c("PAT_ID").isNotNull()).select(
-        c("REFR_NO").cast("string").alias("appt_refr_no"),
-        c("PAT_ID").alias("pat_id"),
-        _moment("APT_TIME").alias("waktu_appointment"),
-        _day("APT_TIME").alias("tanggal_appointment"),
-        c("CTD_ID").alias("ctd_id"),
-        c("DOC_ID").alias("doc_id"),
-        c("ASTAT_CD").alias("kode_status"),
-        c("ASTAT_DES").alias("deskripsi_status"),
-        c("ATYPE_CD").alias("kode_tipe"),
-        c("ATYPE_DES").alias("deskripsi_tipe"),
-        _is("ASTAT_DES", "Completed").alias("is_completed"),
-    )
+    return _staged("stg_appointment", appt)
 
 
 def stg_diagnosis(diag: DataFrame) -> DataFrame:
-    return diag.where(c("REFR_NO").isNotNull()).select(
-        c("REFR_NO").alias("refr_no"),
-        c("DIG_SEQ").alias("urutan_diagnosis"),
-        c("DIG_CD").alias("kode_diagnosis"),
-        c("DIG_DES").alias("deskripsi_diagnosis"),
-        _moment("DIG_EN").alias("waktu_diagnosis"),
-        _day("DIG_EN").alias("tanggal_diagnosis"),
-        money_or_null(c("DIG_TOT")).alias("total_biaya"),
-        c("DSTAT_CD").alias("kode_status"),
-        c("DSTAT_DES").alias("deskripsi_status"),
-        c("DTYPE_CD").alias("kode_tipe"),
-        c("DTYPE_DES").alias("deskripsi_tipe"),
-        c("ROM_ID").alias("rom_id"),
-    )
+    return _staged("stg_diagnosis", diag)
 
 
 def stg_tindakan_medis(trtm: DataFrame) -> DataFrame:
-    return trtm.where(c("REFR_NO").isNotNull()).select(
-        c("REFR_NO").alias("refr_no"),
-        c("TRTM_SEQ").alias("urutan_tindakan"),
-        c("TRTM_CD").alias("kode_tindakan"),
-        c("TRTM_DES").alias("deskripsi_tindakan"),
-        c("TTYPE_CD").alias("kode_tipe"),
-        c("TTYPE_DES").alias("deskripsi_tipe"),
-        c("TSTAT_CD").alias("kode_status"),
-        c("TSTAT_DES").alias("deskripsi_status"),
-        _moment("TRTM_EN").alias("waktu_tindakan"),
-        _day("TRTM_EN").alias("tanggal_tindakan"),
-        money_or_null(c("TRTM_TOT")).alias("total_biaya"),
-        _is("TSTAT_DES", "Completed").alias("is_selesai"),
-        _is("TTYPE_DES", "Surgery").alias("is_operasi"),
-        _is("TTYPE_DES", "Medication").alias("is_obat"),
-    )
+    return _staged("stg_tindakan_medis", trtm)
 
 
 def stg_staff_dokter(stff: DataFrame) -> DataFrame:
-    doctors = stff.where((c("ROLE_DES") == "Doctor") & c("STF_ID").isNotNull())
-    return doctors.select(
-        c("STF_ID").alias("stf_id"),
-        F.trim("F_NAME").alias("nama_depan"),
-        F.trim(F.coalesce("M_NAME", F.lit(""))).alias("nama_tengah"),
-        F.trim("L_NAME").alias("nama_belakang"),
-        F.trim(F.concat("F_NAME", F.lit(" "), "L_NAME")).alias("nama_lengkap"),
-        c("GEN_CD").alias("kode_jenis_kelamin"),
-        c("GEN_DES").alias("jenis_kelamin"),
-        _day("DT_BRT").alias("tanggal_lahir"),
-        c("DEP_ID").alias("dep_id"),
-        c("ROLE_CD").alias("kode_peran"),
-        c("ROLE_DES").alias("deskripsi_peran"),
-        c("STAT_CD").alias("kode_status"),
-        c("STAT_DES").alias("status_karyawan"),
-        date_or_null(c("HIRE_DATE")).alias("tanggal_masuk"),
-        date_or_null(c("ROLE_DATE")).alias("tanggal_peran"),
-        money_or_null(c("SAL_YR")).alias("gaji_tahunan"),
-        c("CON_NO").alias("nomor_kontak"),
-        c("EM_ADD").alias("email"),
-        c("INGST_TMSTMP").alias("ingst_tmstmp"),
+    return _staged(
+        "stg_staff_dokter",
+        stff.where(c("ROLE_DES") == "Doctor"),
+        nama_tengah=_middle_name(),
+        nama_lengkap=F.trim(F.concat("F_NAME", F.lit(" "), "L_NAME")),
     )
 
 
@@ -151,54 +90,18 @@ def stg_departemen(dpmt: DataFrame) -> DataFrame:
         piece = F.trim(F.split_part("DEP_LOC", F.lit(","), F.lit(position)))
         return F.when(c("DEP_LOC").like(f"%{word}%"), piece)
 
-    return dpmt.where(c("DEP_ID").isNotNull()).select(
-        c("DEP_ID").alias("dep_id"),
-        c("DEP_NAME").alias("nama_departemen"),
-        c("DEP_DES").alias("deskripsi"),
-        c("DEP_LOC").alias("lokasi"),
-        part("Block", 1).alias("blok"),
-        part("Floor", 2).alias("lantai"),
-    )
+    return _staged("stg_departemen", dpmt, blok=part("Block", 1), lantai=part("Floor", 2))
 
 
 def stg_ruangan(roms: DataFrame, dpmt: DataFrame) -> DataFrame:
-    names = dpmt.select("DEP_ID", c("DEP_NAME").alias("nama_departemen"))
-    rooms = roms.where(c("ROM_ID").isNotNull())
-    return rooms.join(names, "DEP_ID", "left").select(
-        c("ROM_ID").alias("rom_id"),
-        c("DEP_ID").alias("dep_id"),
-        "nama_departemen",
-        c("PRPS_CD").alias("kode_tujuan"),
-        c("PRPS_DES").alias("deskripsi_tujuan"),
-        c("RTYPE_CD").alias("kode_tipe"),
-        c("RTYPE_DES").alias("deskripsi_tipe"),
-        int_or_null(c("CPCT_NO")).alias("kapasitas"),
-        *[name for name in roms.columns if name == ROW_ID],
-    )
+    named = roms.join(dpmt.select("DEP_ID", "DEP_NAME"), "DEP_ID", "left")
+    row_id = {ROW_ID: c(ROW_ID)} if ROW_ID in roms.columns else {}
+    return _staged("stg_ruangan", named, nama_departemen=c("DEP_NAME"), **row_id)
 
 
 def stg_tim_medis(medt: DataFrame) -> DataFrame:
-    return medt.where(c("MEDT_ID").isNotNull() & c("STF_ID").isNotNull()).select(
-        c("MEDT_ID").alias("medt_id"),
-        c("TEAM_NO").alias("nomor_tim"),
-        c("STF_ID").alias("stf_id"),
-        c("ROLE_CD").alias("kode_peran"),
-        c("ROLE_DES").alias("deskripsi_peran"),
-        _is("ROLE_DES", "Doctor").alias("is_dokter"),
-    )
+    return _staged("stg_tim_medis", medt)
 
 
 def stg_asuransi(insr: DataFrame) -> DataFrame:
-    return insr.where(c("PAT_ID").isNotNull()).select(
-        c("POL_NO").alias("pol_no"),
-        c("PAT_ID").alias("pat_id"),
-        c("COM_NAME").alias("nama_asuransi"),
-        c("ITYPE_CD").alias("kode_tipe"),
-        c("ITYPE_DES").alias("jenis_penjamin"),
-        date_or_null(c("POL_ST")).alias("tanggal_mulai"),
-        date_or_null(c("POL_ED")).alias("tanggal_selesai"),
-        c("ISTAT_CD").alias("kode_status"),
-        c("ISTAT_DES").alias("deskripsi_status"),
-        c("CON_NO").alias("nomor_kontak"),
-        _is("ISTAT_DES", "Active").alias("is_aktif"),
-    )
+    return _staged("stg_asuransi", insr)
