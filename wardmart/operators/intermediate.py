@@ -33,12 +33,10 @@ def best_policy(policies: DataFrame) -> DataFrame:
     )
 
 
-def int_pasien_dengan_asuransi(
-    patients: DataFrame, policies: DataFrame, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def int_pasien_dengan_asuransi(patients: DataFrame, policies: DataFrame) -> DataFrame:
+    """Patients with their policy. ``pat_id`` is the key of patients, so none of them is hot."""
     kept = patients.drop("kode_jenis_kelamin", "ingst_tmstmp")
-    hot = hot_keys(kept, "pat_id", rows_per_task)
-    return left_join_dealt(kept, best_policy(policies), "pat_id", ROW_ID, hot)
+    return kept.join(best_policy(policies), "pat_id", "left")
 
 
 def first_doctor(teams: DataFrame) -> DataFrame:

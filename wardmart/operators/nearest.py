@@ -103,22 +103,22 @@ def nearest_appointment(
 def appointments_in_reach(visits: DataFrame, appointments: DataFrame) -> DataFrame:
     """Per patient and visit day: visits, and appointments within the 30 days up to it.
 
-    The size of the interval join without its rows: both sides are first counted
-    per patient and day, so a patient has at most one row per calendar day when
+    The size of the interval join without its rows: visits and appointments are counted
+    together per patient and day, so a patient has at most one row per calendar day when
     the 30-day range frame slides over them.
     """
-    seen = visits.where(c("pat_id").isNotNull() & c("tanggal_masuk").isNotNull())
-    daily_visits = seen.groupBy("pat_id", c("tanggal_masuk").alias("hari")).agg(
-        F.count(F.lit(1)).alias("jumlah_kunjungan"), F.lit(0).cast("bigint").alias("n_appt")
-    )
-    booked = appointments.where(c("tanggal_appointment").isNotNull())
-    daily_booked = booked.groupBy("pat_id", c("tanggal_appointment").alias("hari")).agg(
-        F.lit(0).cast("bigint").alias("jumlah_kunjungan"), F.count(F.lit(1)).alias("n_appt")
+    seen = visits.select("pat_id", c("tanggal_masuk").alias("hari"), F.lit(True).alias("kunjungan"))
+    booked = appointments.select(
+        "pat_id", c("tanggal_appointment").alias("hari"), F.lit(False).alias("kunjungan")
     )
     daily = (
-        daily_visits.unionByName(daily_booked)
+        seen.union(booked)
+        .where(c("pat_id").isNotNull() & c("hari").isNotNull())
         .groupBy("pat_id", "hari")
-        .agg(F.sum("jumlah_kunjungan").alias("jumlah_kunjungan"), F.sum("n_appt").alias("n_appt"))
+        .agg(
+            F.count_if("kunjungan").alias("jumlah_kunjungan"),
+            F.count_if(~c("kunjungan")).alias("n_appt"),
+        )
     )
     reach = Window.partitionBy("pat_id").orderBy(F.unix_date("hari")).rangeBetween(-DAYS, 0)
     booked_day = F.when(c("n_appt") > 0, c("hari"))

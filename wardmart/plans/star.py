@@ -97,7 +97,6 @@ class Star:
         return intermediate.int_pasien_dengan_asuransi(
             with_row_id(self.staging("stg_pasien")),
             self.staging("stg_asuransi"),
-            self.rows_per_task,
         )
 
     def visits_with_doctor(self) -> DataFrame:
