@@ -8,7 +8,14 @@ from datetime import datetime, timedelta
 import pytest
 
 from wardmart.functions.keys import with_row_id
-from wardmart.operators.nearest import appointments_in_reach, nearest_appointment
+from wardmart.operators.nearest import (
+    appointments_in_reach,
+    carried_over,
+    events_in_time,
+    nearest_appointment,
+)
+from wardmart.session import table_root
+from wardmart.sources.store import TableStore
 
 VISIT = "refr_no string, pat_id string, waktu_masuk timestamp_ntz, tanggal_masuk date"
 APPOINTMENT = (
@@ -42,12 +49,30 @@ def brute_force(visits, bookings):
     return {number: (rank[0], rank[2] or None, rank[3]) for number, rank in best.items()}
 
 
-def run(spark, visits, bookings, rows_per_task=1_000_000):
-    got = nearest_appointment(
-        with_row_id(spark.createDataFrame(visits, VISIT)),
-        spark.createDataFrame(bookings, APPOINTMENT),
-        rows_per_task,
-    ).collect()
+@pytest.fixture
+def cut_into(spark):
+    """Set the number of range partitions, none of them put together afterwards."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {name: spark.conf.get(name) for name in names}
+
+    def cut(partitions):
+        for name, value in zip(names, (str(partitions), "false"), strict=True):
+            spark.conf.set(name, value)
+
+    yield cut
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def stored_events(spark, visits, bookings):
+    store = TableStore(spark, table_root(spark))
+    rows = with_row_id(spark.createDataFrame(visits, VISIT))
+    events = store.write("events", events_in_time(rows, spark.createDataFrame(bookings, APPOINTMENT)))
+    return events, store.write("carried", carried_over(events))
+
+
+def run(spark, visits, bookings):
+    got = nearest_appointment(*stored_events(spark, visits, bookings)).collect()
     assert len({r["refr_no"] for r in got}) == len(got)
     return {
         r["refr_no"]: (r["jarak_detik"], r["appt_refr_no"], r["deskripsi_status_appt"]) for r in got
@@ -87,10 +112,10 @@ def test_missing_values_do_not_match(spark):
     assert run(spark, visits, bookings) == {}
 
 
-@pytest.mark.parametrize("rows_per_task", [1_000_000, 40])
+@pytest.mark.parametrize("partitions", [1, 8, 40])
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_random_data_with_one_hot_patient(spark, seed, rows_per_task):
-    """A third of all visits and appointments belong to one patient; small shares split them."""
+def test_random_data_with_one_hot_patient(spark, cut_into, seed, partitions):
+    """A third of all visits and appointments belong to one patient; partitions cut through them."""
     draw = random.Random(seed)
     start = datetime(2024, 1, 1)
 
@@ -107,7 +132,44 @@ def test_random_data_with_one_hot_patient(spark, seed, rows_per_task):
     ]
     visits += [visits[0]] * 30
     bookings += [bookings[0]] * 30
-    assert run(spark, visits, bookings, rows_per_task) == brute_force(visits, bookings)
+    cut_into(partitions)
+    assert run(spark, visits, bookings) == brute_force(visits, bookings)
+
+
+@pytest.mark.parametrize(("n_visits", "n_bookings"), [(600, 2), (3, 600), (500, 500)])
+def test_one_patient_over_many_partitions(spark, cut_into, n_visits, n_bookings):
+    """Hot in visits, in appointments, in both: carried over partitions without appointments too."""
+    draw = random.Random(n_visits)
+
+    def moment():
+        return NOON + timedelta(minutes=draw.randrange(60 * 24 * 45))
+
+    visits = [visit(f"w{i}", "p", moment()) for i in range(n_visits)]
+    bookings = [booking(str(i), "p", moment()) for i in range(n_bookings)]
+    cut_into(20)
+    events, carried = stored_events(spark, visits, bookings)
+    times = len({a[2] for a in bookings})
+    assert events.count() == n_visits + times
+    parts = [r["count"] for r in events.groupBy("_run").count().collect()]
+    assert len(parts) > 10
+    assert max(parts) < (n_visits + times) / 4
+    assert carried.count() == len(parts)
+    if n_bookings == 2:
+        assert events.groupBy("_run").agg({"kind": "min"}).where("`min(kind)` = 1").count() > 5
+    assert run(spark, visits, bookings) == brute_force(visits, bookings)
+
+
+def test_visits_of_one_moment_are_cut_too(spark, cut_into):
+    visits = [visit(f"w{i}", "p", NOON) for i in range(600)]
+    bookings = [booking("1", "p", NOON - timedelta(hours=1)), booking("2", "p", NOON + timedelta(hours=2))]
+    cut_into(12)
+    events, _ = stored_events(spark, visits, bookings)
+    assert events.select("_run").distinct().count() > 6
+    assert run(spark, visits, bookings) == brute_force(visits, bookings)
+
+
+def test_no_rows_at_all(spark):
+    assert run(spark, [], []) == {}
 
 
 def test_reach_counts_equal_the_pairs(spark):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wardmart.functions.keys import ROW_ID
 from wardmart.functions.scalar import hours_between
 from wardmart.functions.skew import ROWS_PER_TASK, hot_keys, left_join_dealt
-from wardmart.operators.nearest import PAYLOAD, nearest_appointment
+from wardmart.operators.nearest import PAYLOAD
 
 c = F.col
 
@@ -61,16 +61,12 @@ def int_dokter_per_kunjungan(
 
 
 def int_kunjungan_enriched(
-    visits: DataFrame,
-    appointments: DataFrame,
-    hot_visits: dict[object, int],
-    rows_per_task: int = ROWS_PER_TASK,
+    visits: DataFrame, best: DataFrame, hot_visits: dict[object, int]
 ) -> DataFrame:
-    """Visits with stay length and the nearest appointment of the previous 30 days.
+    """Visits with stay length and ``best``, the nearest appointment of the previous 30 days.
 
     The winner is picked per visit number, so visits sharing a number share it.
     """
-    best = nearest_appointment(visits, appointments, rows_per_task)
     found = c("appt_refr_no").isNotNull()
     completed = F.coalesce("is_appointment_completed", F.lit(False))
     won = best.select("refr_no", *PAYLOAD)

@@ -11,13 +11,11 @@ from pyspark.sql import functions as F
 
 from wardmart.functions.keys import ROW_ID
 from wardmart.functions.scalar import elapsed_seconds, nulls_last
-from wardmart.functions.skew import ROWS_PER_TASK, every_share, hot_keys, share_of_row
 
 c = F.col
 
 DAYS = 30
-_CELL = 4 * (DAYS + 1)
-"""Cell width in days. Wider cells repeat fewer appointments, narrower ones hold fewer times."""
+RUN = "_run"
 
 PAYLOAD = [
     "appt_refr_no",
@@ -29,64 +27,82 @@ PAYLOAD = [
 ]
 
 
-def nearest_appointment(
-    visits: DataFrame, appointments: DataFrame, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """One row per matched visit number: the appointment nearest in time, and how near.
-
-    Candidates have the same patient and a date within [visit date - 30, visit
-    date]; nearness counts in time, so one later on the visit's own day can win.
-    Ties go to the lowest appointment number, then to its other columns.
+def events_in_time(visits: DataFrame, appointments: DataFrame) -> DataFrame:
+    """Visits and appointment times in one order: patient, time, appointments first.
 
-    The nearest one is either the last at or before the visit or the first after
-    it. Sorting visits and appointments of a patient together gives both to every
-    visit in one pass. Patients are cut into cells of some months; an appointment
-    stands in each cell that a visit in its 30 days can fall into, its own and at
-    times the next. Patients with very many visits are dealt over several shares,
-    each with all of the patient's appointment times in the cell.
+    One row per visit and one per time at which a patient has appointments, never more.
+    Range partitions may cut anywhere, also within a patient or among visits of one
+    moment (then by row id), so no patient is too large for a task. ``_run`` numbers the
+    partitions. Store the result before using it: range bounds come from a sample, and
+    only a written table has one order for all that read it.
     """
     rows = visits.where(c("pat_id").isNotNull() & c("waktu_masuk").isNotNull())
-    hot = hot_keys(rows, "pat_id", rows_per_task)
-    dealt = share_of_row(c(ROW_ID), c("pat_id"), hot) if hot else F.lit(0)
-    repeated = every_share(c("pat_id"), hot) if hot else F.lit(0)
-    booked = c("waktu_appointment").cast("date")
-
     visit_events = rows.select(
-        "pat_id",
-        _cell(c("waktu_masuk").cast("date")).alias("cell"),
-        dealt.alias("share"),
-        c("waktu_masuk").alias("at"),
-        F.lit(1).alias("kind"),
-        "refr_no",
+        "pat_id", c("waktu_masuk").alias("at"), F.lit(1).alias("kind"), ROW_ID, "refr_no"
     )
-    appointment_events = (
-        _one_per_moment(appointments)
-        .select(
-            "pat_id",
-            "waktu_appointment",
-            "best",
-            F.explode(F.sequence(_cell(booked), _cell(F.date_add(booked, DAYS)))).alias("cell"),
-        )
-        .select(
-            "pat_id",
-            "cell",
-            repeated.alias("share"),
-            c("waktu_appointment").alias("at"),
-            F.lit(0).alias("kind"),
-            F.struct("best", "waktu_appointment").alias("appointment"),
-        )
+    appointment_events = _one_per_moment(appointments).select(
+        "pat_id",
+        c("waktu_appointment").alias("at"),
+        F.lit(0).alias("kind"),
+        F.lit(0).cast("bigint").alias(ROW_ID),
+        F.struct("best", "waktu_appointment").alias("appointment"),
     )
+    order = ["pat_id", "at", "kind", ROW_ID]
     events = visit_events.unionByName(appointment_events, allowMissingColumns=True)
+    ordered = events.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ordered.drop(ROW_ID).withColumn(RUN, F.spark_partition_id())
+
 
-    in_time = Window.partitionBy("pat_id", "cell", "share").orderBy("at", "kind")
+def carried_over(events: DataFrame) -> DataFrame:
+    """(_run, pat_id, came, comes): what patients cut by a partition border have beyond it.
+
+    ``came`` is the last appointment in earlier partitions, ``comes`` the first in later
+    ones. A border cuts one patient at most, so there are less than two rows per
+    partition, and a partition without appointments hands over what it was given.
+    """
+    reach = events.groupBy("pat_id").agg(F.min(RUN).alias("low"), F.max(RUN).alias("high"))
+    cut = reach.where("low < high").select("pat_id")
+    booked = F.when(c("kind") == 0, c("appointment"))
+    ends = (
+        events.join(cut, "pat_id", "left_semi")
+        .groupBy(RUN, "pat_id")
+        .agg(F.min_by(booked, _booked_at()).alias("first"), F.max_by(booked, _booked_at()).alias("last"))
+    )
+    by_run = Window.partitionBy("pat_id").orderBy(RUN)
+    earlier = by_run.rowsBetween(Window.unboundedPreceding, -1)
+    later = by_run.rowsBetween(1, Window.unboundedFollowing)
+    return ends.select(
+        RUN,
+        "pat_id",
+        F.last("last", ignorenulls=True).over(earlier).alias("came"),
+        F.first("first", ignorenulls=True).over(later).alias("comes"),
+    )
+
+
+def nearest_appointment(events: DataFrame, carried: DataFrame) -> DataFrame:
+    """One row per matched visit number: the appointment nearest in time, and how near.
+
+    Candidates have the same patient and a date within [visit date - 30, visit
+    date]; nearness counts in time, so one later on the visit's own day can win.
+    Ties go to the lowest appointment number, then to its other columns.
+
+    The nearest one is either the last at or before the visit or the first after
+    it. One pass over a patient's events in a partition gives both to every visit;
+    where the patient goes on beyond the partition, ``carried`` has them. Both inputs
+    are the stored results of ``events_in_time`` and ``carried_over``.
+    """
+    in_time = Window.partitionBy(RUN, "pat_id").orderBy("at", "kind")
     so_far = in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     following = F.expr(
-        "lead(appointment, 1) ignore nulls over (partition by pat_id, cell, share order by at, kind)"
+        f"lead(appointment, 1) ignore nulls over (partition by {RUN}, pat_id order by at, kind)"
     )
     matched = (
         events.withColumn("before", F.last("appointment", ignorenulls=True).over(so_far))
         .withColumn("after", following)
         .where(c("kind") == 1)
+        .join(carried, [RUN, "pat_id"], "left")
+        .withColumn("before", F.coalesce("before", "came"))
+        .withColumn("after", F.coalesce("after", "comes"))
         .select("refr_no", F.least(_candidate("before"), _candidate("after")).alias("nearest"))
         .where(c("nearest").isNotNull())
         .groupBy("refr_no")
@@ -136,15 +152,14 @@ def appointments_in_reach(visits: DataFrame, appointments: DataFrame) -> DataFra
     )
 
 
-def _cell(day: Column) -> Column:
-    return F.floor(F.unix_date(day) / _CELL)
+def _booked_at() -> Column:
+    return F.when(c("kind") == 0, c("at"))
 
 
 def _one_per_moment(appointments: DataFrame) -> DataFrame:
     """Of a patient's appointments at the same moment only the tie winner can be nearest.
 
-    Combined before the shuffle. It also bounds what a patient can bring into a
-    cell: its distinct times.
+    Combined before the shuffle.
     """
     named = appointments.select(
         "pat_id",

@@ -53,8 +53,7 @@ def _on_marts(query: Callable[..., DataFrame], *args: object) -> Callable[[Star]
 def _enriched(star: Star) -> DataFrame:
     visits = star.visits_with_doctor()
     hot = hot_keys(star.staging("stg_kunjungan"), "refr_no", star.rows_per_task)
-    appointments = star.staging("stg_appointment")
-    return int_kunjungan_enriched(visits, appointments, hot, star.rows_per_task).drop(ROW_ID)
+    return int_kunjungan_enriched(visits, star.nearest_appointments(), hot).drop(ROW_ID)
 
 
 QUERIES: dict[str, Callable[[Star], DataFrame]] = {

@@ -14,7 +14,7 @@ from pyspark.util import inheritable_thread_target
 
 from wardmart.functions.keys import ROW_ID, dense_key, with_row_id, with_unknown
 from wardmart.functions.skew import ROWS_PER_TASK, hot_keys
-from wardmart.operators import dimensions, facts, intermediate, staging
+from wardmart.operators import dimensions, facts, intermediate, nearest, staging
 from wardmart.session import table_root
 from wardmart.sources.projections import AS_OF, raw_tables
 from wardmart.sources.store import TableStore
@@ -36,6 +36,8 @@ KEYS = {
 
 KEYED_VISITS = "kunjungan_keyed"
 ROOMS = "kamar"
+EVENTS = "urutan_waktu"
+CARRIED = "urutan_batas"
 
 STAMPED = ("stg_departemen", "stg_ruangan")
 """Staging tables that carry their load time."""
@@ -110,11 +112,14 @@ class Star:
         """Visits with keys and nearest appointment, from the stored keyed visits."""
         return intermediate.int_kunjungan_enriched(
             with_row_id(self.table(KEYED_VISITS)),
-            self.staging("stg_appointment"),
+            self.nearest_appointments(),
             self._hot_visits,
-            self.rows_per_task,
         )
 
+    def nearest_appointments(self) -> DataFrame:
+        """Per visit number, from the stored order of visits and appointments."""
+        return nearest.nearest_appointment(self.table(EVENTS), self.table(CARRIED))
+
     def rooms(self) -> DataFrame:
         """Stored, so that its true size decides how facts are joined with it."""
         return self.table(ROOMS)
@@ -138,7 +143,10 @@ class Star:
         """
         facts_wanted = [n for n in names if n in FACTS]
         dimensions_wanted = DIMENSIONS if facts_wanted else names
-        layers = (dimensions_wanted, [KEYED_VISITS] if facts_wanted else [], facts_wanted)
+        prepared = [KEYED_VISITS] if facts_wanted else []
+        if "fct_kunjungan" in facts_wanted:
+            prepared.append(CARRIED)
+        layers = (dimensions_wanted, prepared, facts_wanted)
         for layer in layers:
             with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as jobs:
                 list(jobs.map(inheritable_thread_target(self.spark)(self.table), layer))
@@ -171,6 +179,12 @@ class Star:
         if name == ROOMS:
             lookup = facts.room_lookup(self.table("dim_ruangan"), self.table("dim_departemen"))
             return self.store.write(name, lookup)
+        if name == EVENTS:
+            visits = with_row_id(self.staging("stg_kunjungan"))
+            events = nearest.events_in_time(visits, self.staging("stg_appointment"))
+            return self.store.write(name, events)
+        if name == CARRIED:
+            return self.store.write(name, nearest.carried_over(self.table(EVENTS)))
         if name == KEYED_VISITS:
             self.build(DIMENSIONS)
             keyed = facts.keyed_visits(

@@ -115,11 +115,7 @@ def join_interval_30d(star: Star) -> DataFrame:
 
 
 def join_nearest_match(star: Star) -> DataFrame:
-    return nearest.nearest_appointment(
-        with_row_id(star.staging("stg_kunjungan")),
-        star.staging("stg_appointment"),
-        star.rows_per_task,
-    )
+    return star.nearest_appointments()
 
 
 def join_star_lookup(star: Star) -> DataFrame:
