@@ -1,12 +1,13 @@
-"""Benchmark decontamination: passages query an inverted BM25 index of the test items.
+"""Benchmark decontamination: documents query an inverted BM25 index of the test items.
 
 Test items are cut into units of even length and indexed. Impacts are BM25 weights,
-divided by the unit's score against itself, so that a score runs from 0 to 1. Every
-passage of every document is a query: the upper bound of its terms rules out most
-passages, the bounds per block of units (block-max) most of the rest, and only blocks
-that can reach the threshold are scored. The bounds are WAND's; they are worked out
-for all passages of a slice at once, as array operations. Every unit above the
-threshold is retrieved, then its item is verified against the whole document.
+divided by the unit's score against itself, so that a score runs from 0 to 1. The
+terms of every whole document are a query: their upper bound rules out documents, the
+bounds per block of units (block-max) most of the rest, and only blocks that can
+reach a threshold are scored. The bounds are WAND's; they are worked out for all
+documents of a slice at once, as array operations. Every unit has a threshold of its
+own, which follows from what verification asks (`least_scores`), so retrieval loses
+no item that verification against the whole document would accept.
 """
 
 from __future__ import annotations
@@ -25,14 +26,10 @@ from pyspark.sql import functions as F
 from wardmart.llm.base import Words, on_batches, ranges, text_slices, texts_of
 
 UNIT = 64
-"""Words of an indexed unit, at most; also the step between passages."""
-
-PASSAGE = 2 * UNIT
-"""Words of a passage: every run of UNIT words lies whole in one."""
+"""Words of an indexed unit, at most."""
 
 BLOCK = 8
 K1, B = 1.2, 0.75
-SCORE = 0.6
 SHINGLE = 5
 CONTAINED = 0.8
 PART = 0.5
@@ -72,6 +69,39 @@ def shingles(words: list[int] | tuple[int, ...], width: int) -> set[tuple[int, .
     return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
 
 
+def least_scores(words: list[int], units: list[dict[int, float]]) -> list[float]:
+    """For each unit of an item a score that holds the item: in a document with CONTAINED
+    of the item's shingles, at least one of its units scores that much.
+
+    Each different shingle belongs to the unit where it first starts. Of the shingles
+    that may be missing, some unit misses no more than its share. A term that is not in
+    the document makes all shingles with it missing, and a shingle has SHINGLE terms at
+    most, so the missing terms of that unit stand in so many of its shingles at most
+    SHINGLE times. The heaviest terms within that (fractional knapsack) are what can be lost.
+    """
+    width = min(SHINGLE, len(words))
+    first: dict[tuple[int, ...], int] = {}
+    for i in range(len(words) - width + 1):
+        first.setdefault(tuple(words[i : i + width]), i)
+    missing = max(m for m in range(len(first)) if (len(first) - m) / len(first) >= CONTAINED)
+    ends = np.cumsum([len(unit) for unit in units_of(words)])
+    costs: list[Counter] = [Counter() for _ in units]
+    own = [0] * len(units)
+    for shingle, i in first.items():
+        unit = int(np.searchsorted(ends, i, "right"))
+        own[unit] += 1
+        costs[unit].update(set(shingle))
+    least = []
+    for weights, cost, count in zip(units, costs, own, strict=True):
+        room, lost = width * (missing * count // len(first)), 0.0
+        for term, weight in sorted(weights.items(), key=lambda w: cost[w[0]] / w[1]):
+            part = min(1.0, room / cost[term]) if cost[term] else 1.0
+            lost += part * weight
+            room -= part * cost[term]
+        least.append(1 - lost if count else math.inf)
+    return least
+
+
 class Index:
     """Postings of the units of one shard, grouped by term and block."""
 
@@ -82,10 +112,12 @@ class Index:
         known = self.vocabulary
         postings: list[tuple[int, int, float]] = []
         owner: list[int] = []
+        least: list[float] = []
         for item_id, text in items:
             question, answer = question_and_answer(text)
             numbers = [[known.setdefault(w, len(known)) for w in part] for part in (question, answer)]
             self.items.append(Item(item_id, *numbers))
+            own: list[dict[int, float]] = []
             for unit in units_of(question + answer):
                 weights = {}
                 for word, times in Counter(unit).items():
@@ -93,9 +125,13 @@ class Index:
                     norm = K1 * (1 - B + B * len(unit) / mean)
                     weights[known[word]] = rarity * times * (K1 + 1) / (times + norm)
                 total = sum(weights.values())
-                postings += [(term, len(owner), w / total) for term, w in weights.items()]
+                own.append({term: w / total for term, w in weights.items()})
+                postings += [(term, len(owner), w) for term, w in own[-1].items()]
                 owner.append(len(self.items) - 1)
+            if own:
+                least += least_scores(self.items[-1].words, own)
         self.owner = np.array(owner, np.int64)
+        self.least = np.array(least)
         self.blocks = -(-len(owner) // BLOCK)
         postings.sort()
         term, unit, self.impact = (np.array(c) for c in zip(*postings, strict=True)) if postings else (np.zeros(0),) * 3
@@ -112,41 +148,42 @@ class Index:
         self.term_max = np.zeros(len(known))
         np.maximum.at(self.term_max, entry_term, self.entry_max)
 
-    def retrieve(self, passage: np.ndarray, term: np.ndarray, threshold: float) -> tuple[np.ndarray, ...]:
-        """(passage, unit, score) with a score of the threshold at least.
+    def retrieve(self, doc: np.ndarray, term: np.ndarray, threshold: float | np.ndarray) -> tuple[np.ndarray, ...]:
+        """(document, unit, score) with a score of the (unit's) threshold at least.
 
-        Input are the different terms of each passage, sorted by passage.
+        Input are the different terms of each document, sorted by document.
         """
-        slack = threshold - 1e-9
-        bound = np.bincount(passage, self.term_max[term])
-        alive = bound[passage] >= slack
-        passage, term = passage[alive], term[alive]
+        slack = np.broadcast_to(threshold, len(self.owner)) - 1e-9
+        block_slack = np.minimum.reduceat(slack, np.arange(0, len(slack), BLOCK))
+        bound = np.bincount(doc, self.term_max[term])
+        alive = bound[doc] >= slack.min()
+        doc, term = doc[alive], term[alive]
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-        first = np.flatnonzero(np.diff(passage, prepend=-1))
+        first = np.flatnonzero(np.diff(doc, prepend=-1))
         work = np.cumsum(self.term_size[term])
         work[first] += self.blocks * np.arange(len(first))
-        # Cut between passages: a part has a bounded number of entries, and of passages x blocks.
+        # Cut between documents: a part has a bounded number of entries, and of documents x blocks.
         part = (work[first] // PAIRS_AT_ONCE) if len(first) else first
-        cuts = [*first[np.flatnonzero(np.diff(part, prepend=-1))], len(passage)]
+        cuts = [*first[np.flatnonzero(np.diff(part, prepend=-1))], len(doc)]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            found.append(self._score(passage[a:b], term[a:b], slack))
+            found.append(self._score(doc[a:b], term[a:b], slack, block_slack))
         return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
-    def _score(self, passage: np.ndarray, term: np.ndarray, slack: float) -> tuple[np.ndarray, ...]:
+    def _score(self, doc: np.ndarray, term: np.ndarray, slack: np.ndarray, block_slack: np.ndarray) -> tuple[np.ndarray, ...]:
         entry = ranges(self.term_start[term], self.term_size[term])
-        changes = np.diff(passage, prepend=-1) != 0
-        names, local = passage[changes], np.cumsum(changes) - 1
+        changes = np.diff(doc, prepend=-1) != 0
+        names, local = doc[changes], np.cumsum(changes) - 1
         pair = np.repeat(local, self.term_size[term]) * self.blocks + self.entry_block[entry]
-        able = (np.bincount(pair, self.entry_max[entry]) >= slack)[pair]
+        able = np.bincount(pair, self.entry_max[entry])[pair] >= block_slack[self.entry_block[entry]]
         entry, pair = entry[able], pair[able]
         posting = ranges(self.entry_start[entry], self.entry_size[entry])
         key = np.repeat(pair // self.blocks, self.entry_size[entry]) * len(self.owner) + self.unit[posting]
         keys, at = np.unique(key, return_inverse=True)
         score = np.bincount(at, self.impact[posting], len(keys))
-        good = score >= slack
+        good = score >= slack[keys % len(self.owner)]
         return names[keys[good] // len(self.owner)], keys[good] % len(self.owner), score[good]
 
-    def search(self, texts: pa.Array, threshold: float = SCORE) -> Iterator[tuple[int, Item, float, float, float, float]]:
+    def search(self, texts: pa.Array) -> Iterator[tuple[int, Item, float, float, float, float]]:
         """(row, item, score, containment, question and answer overlap) of verified items."""
         words = Words(texts)
         terms = [normal(w) for w in words.distinct.to_pylist()]
@@ -155,19 +192,14 @@ class Index:
         real = code != -2  # marks alone are no words
         code, doc = code[real], words.doc[real]
         starts = np.append(0, np.cumsum(np.bincount(doc, minlength=len(texts))))
-        cell = (np.arange(len(code)) - starts[doc]) // UNIT
-        cells = np.append(0, np.cumsum(-(-np.diff(starts) // UNIT)))
         known = code >= 0
-        passage, later = (cells[doc] + cell)[known], cell[known] > 0
-        # A word is in the passage that starts with its cell and in the one before.
         size = max(1, len(self.vocabulary))
-        key = np.concatenate([passage * size + code[known], (passage[later] - 1) * size + code[known][later]])
+        key = doc[known] * size + code[known]
         key.sort()
         key = key[np.diff(key, prepend=-1) != 0]
         if not len(key):
             return
-        passage, unit, score = self.retrieve(key // size, key % size, threshold)
-        row = np.searchsorted(cells, passage, "right") - 1
+        row, unit, score = self.retrieve(key // size, key % size, self.least)
         best: dict[tuple[int, int], float] = {}
         for r, i, s in zip(row.tolist(), self.owner[unit].tolist(), score.tolist(), strict=True):
             best[r, i] = max(s, best.get((r, i), 0.0))
