@@ -4,21 +4,26 @@ Base spans (emails, IP addresses, card and phone numbers) are seeds. The words a
 them induce lexical patterns. Patterns and identifier-like strings form a graph, which
 is scored in rounds: a pattern by the share of known identifiers among all strings it
 holds, a string by the patterns that hold it. Strings with a high score become known
-and score patterns in the next round. Only SQL functions are used.
+and score patterns in the next round, until a round changes nothing. Only SQL functions are
+used.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardmart.llm.base import stored
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
 PATTERN_SUPPORT = 3
 PATTERN_CONFIDENCE = 0.7
 INSTANCE_CONFIDENCE = 0.85
+SCORE_DIGITS = 3
+"""Decimals of the scores that a round hands on: they only rise, so the rounds come to an end."""
+
 CONTEXT = 64
 """Characters on either side of a string that its context words are taken from."""
 
@@ -36,6 +41,11 @@ OCTETS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$"
 
 # Strings that may be identifiers: word characters with a digit or an at sign.
 TOKEN = r"(?<![A-Za-z0-9@_.+-])(?=[A-Za-z_.+-]*+[0-9@])[A-Za-z0-9@_.+-]++"
+# Groups of digits joined by one space, hyphen or dot, or by brackets. A valid IP address is not part of a run.
+OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2}|(?<=0))(?![0-9])"
+GROUP = rf"(?!{OCTET}(?:\.{OCTET}){{3}})[0-9]++(?![A-Za-z_@])"
+JOINT = r"(?:\)[ .-]?\(?|[ .-]\(?|\()"
+RUN = rf"(?:\+?\((?=[0-9]++\))|(?<![A-Za-z0-9@_+])(?<![A-Za-z0-9@_][.-])\+?){GROUP}(?:{JOINT}{GROUP})++"
 LEAST_DIGITS = 6
 
 SPAN = "struct<kind:string,start:bigint,end:bigint,value:string>"
@@ -92,14 +102,25 @@ def _base_spans_of(kind: str, text: Column) -> Column:
 
 
 def _strings(text: Column, base: Column) -> Column:
-    """Identifier-like strings that no base span touches; their kind is null."""
-    found = spans(text, None, TOKEN)
-    found = F.filter(
-        found,
-        lambda s: (F.contains(s["value"], F.lit("@")) | (F.length(_digits(s["value"])) >= LEAST_DIGITS))
-        & ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+    """Identifier-like strings that no base span touches; their kind is null.
+
+    They are single words, and runs of digit groups that reach beyond one such word. A
+    word inside a run is a string as well.
+    """
+
+    def apart(found: Column) -> Column:
+        return F.filter(
+            found,
+            lambda s: (F.contains(s["value"], F.lit("@")) | (F.length(_digits(s["value"])) >= LEAST_DIGITS))
+            & ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+        )
+
+    none = F.array().cast(f"array<{SPAN}>")
+    runs = F.filter(spans(text, None, RUN), lambda s: s["value"].rlike("[ ()]"))
+    return F.concat(
+        F.when(text.rlike("[0-9@]"), apart(spans(text, None, TOKEN))).otherwise(none),
+        F.when(text.rlike(rf"[0-9]{JOINT}[0-9]"), apart(runs)).otherwise(none),
     )
-    return F.when(text.rlike("[0-9@]"), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def _placed(text: Column, span: Column) -> Column:
@@ -145,19 +166,22 @@ def _suits(kind: Column, value: Column) -> Column:
     return F.when(kind == "email", F.contains(value, F.lit("@"))).otherwise(F.length(_digits(value)) >= LEAST_DIGITS)
 
 
-def discovered(strings: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def discovered(strings: DataFrame, rounds: int | None = None) -> DataFrame:
     """(value, kind, score) of strings that patterns have made known, beyond the seeds.
 
     ``strings`` has rows (kind, value, contexts), kind null where no base pattern
     matched. Copies of an occurrence count once: a pattern's support is in different
-    strings. Every sum is combined before its shuffle.
+    strings. Every sum is combined before its shuffle. A string that is known keeps its
+    kind, so known strings and scores only grow, and rounds go on (up to ``rounds``, if
+    given) until one changes neither.
     """
     edges = strings.select("value", "kind", F.explode("contexts").alias("pattern")).distinct()
     edges = stored(edges, "edges")
     seeds = strings.where("kind is not null").select("value", "kind").distinct().withColumn("score", F.lit(1.0))
-    known = stored(seeds, "known")
+    seeds = stored(seeds, "known")
+    known, new, state = seeds, seeds.limit(0), (0, None)
     holds = stored(edges.groupBy("pattern").agg(F.countDistinct("value").alias("holds")), "holds")
-    for _ in range(rounds):
+    for _ in itertools.count() if rounds is None else range(rounds):
         supported = (
             edges.select("pattern", "value").distinct().join(known, "value")
             .groupBy("pattern", "kind")
@@ -171,21 +195,27 @@ def discovered(strings: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             .select("pattern", F.col("kind").alias("found"), "confidence")
         )
         doubt = F.exp(F.round(F.sum(F.log(1 - F.col("confidence"))), 6))
-        new = (
+        sure = (
             edges.where("kind is null").join(patterns, "pattern")
             .where(_suits(F.col("found"), F.col("value")))
             .groupBy("value", F.col("found").alias("kind"))
             .agg((1 - doubt).alias("score"))
             .where(F.col("score") >= INSTANCE_CONFIDENCE)
+            .withColumn("score", F.round("score", SCORE_DIGITS))
         )
-        # One kind for each string: the surest, then the first by name.
-        new = new.groupBy("value").agg(F.max_by(F.struct("kind", "score"), F.struct("score", "kind")).alias("best"))
-        new = stored(new.select("value", "best.kind", "best.score"), "new")
+        # One kind for each string: the one it has, else the surest, then the first by name.
+        sure = sure.join(new.select("value", F.col("kind").alias("has")), "value", "left")
+        order = F.struct(F.coalesce(F.col("has") == F.col("kind"), F.lit(False)), "score", "kind")
+        sure = sure.groupBy("value").agg(F.max_by(F.struct("kind", "score"), order).alias("best"))
+        new = stored(sure.select("value", "best.kind", "best.score"), "new")
         known = seeds.union(new.join(seeds.select("value"), "value", "left_anti"))
+        before, state = state, tuple(new.agg(F.count("*"), F.sum(F.round(F.col("score") * 10**SCORE_DIGITS).cast("long"))).first())
+        if state == before:
+            break
     return new
 
 
-def found_spans(marked: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def found_spans(marked: DataFrame, rounds: int | None = None) -> DataFrame:
     """(key, more): for texts with discovered identifiers, their spans."""
     occurrences = marked.select("key", F.explode("strings").alias("s")).select("key", "s.*")
     known = discovered(occurrences, rounds)
@@ -206,7 +236,7 @@ def _joined(spans_: Column) -> Column:
     return F.array_join(F.transform(spans_, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int | None = None) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) of every whole text.
 
     Base spans are leftmost and do not overlap within a kind; discovered ones are added
@@ -228,7 +258,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: in
     )
 
 
-def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int | None = None) -> DataFrame:
     """The same rows with every span of the text replaced by its kind, like ``[EMAIL]``.
 
     Spans that overlap become one, named after the first. Null texts stay null. The
