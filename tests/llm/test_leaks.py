@@ -56,3 +56,10 @@ def test_no_scattered_item_is_lost():
     wanted = {(d, i) for d, text in enumerate(docs) for i in brute_hits(text, items)}
     index = index_of(items)
     assert len(wanted) > 100 and {(r, item.item_id) for r, item, *_ in index.search(pa.array(docs))} == wanted
+
+
+def test_short_items_need_a_whole_line():
+    index = index_of([(1, "Yes."), (2, "Forty two"), (3, "no\nway")])
+    docs = ["yes we can", "well\n yes!\nthat", "YES", "it is forty two now", "a\r\nforty two.\nb", "two forty", "no\nway", "no way out"]
+    found = {(r, item.item_id): numbers for r, item, *numbers in index.search(pa.array(docs))}
+    assert found.keys() == {(1, 1), (2, 1), (4, 2), (6, 3)} and {tuple(n[1:]) for n in found.values()} == {(1.0, 1.0, 1.0)}

@@ -203,14 +203,20 @@ class Index:
         best: dict[tuple[int, int], float] = {}
         for r, i, s in zip(row.tolist(), self.owner[unit].tolist(), score.tolist(), strict=True):
             best[r, i] = max(s, best.get((r, i), 0.0))
-        grams: dict[tuple[int, int], set] = {}
+        grams: dict[int, set] = {}
+        lines: dict[int, set] = {}
         for (r, i), s in sorted(best.items()):
             item, text = self.items[i], code[starts[r] : starts[r + 1]]
-            width = min(SHINGLE, len(item.words))
-            if (r, width) not in grams:
-                grams = {(r, width): shingles(tuple(text.tolist()), width)}
-            own = shingles(item.words, width)
-            contained = len(own & grams[r, width]) / len(own)
+            if len(item.words) < SHINGLE:
+                if r not in lines:
+                    lines = {r: self._short_lines(texts[r].as_py())}
+                if tuple(item.words) in lines[r]:
+                    yield r, item, s, 1.0, 1.0, 1.0
+                continue
+            if r not in grams:
+                grams = {r: shingles(tuple(text.tolist()), SHINGLE)}
+            own = shingles(item.words, SHINGLE)
+            contained = len(own & grams[r]) / len(own)
             have = set(text.tolist())
             asked, answered = (
                 len(have & set(part)) / len(set(part)) if part else 1.0 for part in (item.question, item.answer)
@@ -218,6 +224,11 @@ class Index:
             if contained >= CONTAINED and asked >= PART and answered >= PART:
                 yield r, item, s, contained, asked, answered
 
+    def _short_lines(self, text: str) -> set[tuple[int, ...]]:
+        """The lines, and the whole text, that have fewer than SHINGLE words."""
+        lines = ([w for w in map(normal, line.split()) if w] for line in (text, *text.splitlines()))
+        return {tuple(self.vocabulary.get(w, -1) for w in line) for line in lines if len(line) < SHINGLE}
+
 
 def units_of(words: list[str]) -> list[list[str]]:
     """Words cut into the fewest parts of at most UNIT words, of even length."""
@@ -267,7 +278,8 @@ def hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     One row for each document row and test item that it holds: SHINGLE-word shingles of
     the item are in the document by CONTAINED at least, and so are the words of both
     question and answer (the last sentence) by PART. Case and punctuation around words
-    do not count. Clean documents give no row, nor do null or empty texts or items.
+    do not count. An item of fewer than SHINGLE words is held only by a document with a
+    line, or a whole text, of just these words in their order. Clean documents give no row, nor do null or empty texts or items.
     Rows with a null or repeated id are searched like others; other columns are not
     read. No shuffle of documents.
     """
