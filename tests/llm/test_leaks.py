@@ -63,3 +63,13 @@ def test_short_items_need_a_whole_line():
     docs = ["yes we can", "well\n yes!\nthat", "YES", "it is forty two now", "a\r\nforty two.\nb", "two forty", "no\nway", "no way out"]
     found = {(r, item.item_id): numbers for r, item, *numbers in index.search(pa.array(docs))}
     assert found.keys() == {(1, 1), (2, 1), (4, 2), (6, 3)} and {tuple(n[1:]) for n in found.values()} == {(1.0, 1.0, 1.0)}
+
+
+def test_repeated_items_are_one(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "SHARD_WORDS", 100)
+    texts = [" ".join(f"i{i}w{k}" for k in range(20)) for i in range(6)]
+    items = spark.createDataFrame([(0, texts[0])] * 50 + list(enumerate(texts)), "item_id long, text string")
+    docs = spark.createDataFrame([(5, f"before {texts[0]} after {texts[3]}")], "doc_id long, text string")
+    assert sorted(tuple(r)[:2] for r in decontam.hits(docs, items).collect()) == [(5, 0), (5, 3)]
+    sizes = [len(make().items) for make in decontam.indexes(items)]
+    assert sum(sizes) == 6 and len(sizes) == 2

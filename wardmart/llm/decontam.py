@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmart.llm.base import Words, on_batches, ranges, text_slices, texts_of
+from wardmart.llm.base import Words, on_batches, ranges, stored, text_slices, texts_of
 
 UNIT = 64
 """Words of an indexed unit, at most."""
@@ -240,10 +240,12 @@ def units_of(words: list[str]) -> list[list[str]]:
 def indexes(items: DataFrame, item_id: str = "item_id", text: str = "text") -> list[Callable[[], Index]]:
     """A maker for each shard's index, so that one shard at a time is in memory.
 
-    Statistics cover all items and come from Spark. A shard holds about SHARD_WORDS
-    words: that is what is collected, and what goes out by broadcast.
+    Repeated rows of an item are one item. Statistics cover all items and come from
+    Spark. A shard holds about SHARD_WORDS words: that is what is collected, and what
+    goes out by broadcast.
     """
     rows = items.select(items[item_id].cast("long").alias("item_id"), F.coalesce(items[text], F.lit("")).alias("text"))
+    rows = stored(rows.distinct(), "items")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
@@ -275,13 +277,14 @@ def indexes(items: DataFrame, item_id: str = "item_id", text: str = "text") -> l
 def hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, item_id, score, containment, question_overlap, answer_overlap) of leaked items.
 
-    One row for each document row and test item that it holds: SHINGLE-word shingles of
-    the item are in the document by CONTAINED at least, and so are the words of both
-    question and answer (the last sentence) by PART. Case and punctuation around words
-    do not count. An item of fewer than SHINGLE words is held only by a document with a
-    line, or a whole text, of just these words in their order. Clean documents give no row, nor do null or empty texts or items.
-    Rows with a null or repeated id are searched like others; other columns are not
-    read. No shuffle of documents.
+    One row for each document row and different test item (id and text) that it holds:
+    SHINGLE-word shingles of the item are in the document by CONTAINED at least, and so
+    are the words of both question and answer (the last sentence) by PART. Case and
+    punctuation around words do not count. An item of fewer than SHINGLE words is held
+    only by a document with a line, or a whole text, of just these words in their order.
+    Clean documents give no row, nor do null or empty texts or items. Rows with a null
+    or repeated id are searched like others; other columns are not read. No shuffle of
+    documents.
     """
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
     found = docs.sparkSession.createDataFrame([], HIT)
