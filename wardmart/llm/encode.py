@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from wardmart.llm.base import ranges
 from wardmart.llm.packing import Ragged
 from wardmart.llm.tokens import LETTERS, ODD_SPACE, MergeTable, merge_table
 
@@ -29,6 +30,97 @@ def joined(parts: list[np.ndarray], kind: str = "<u4") -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
+KNOWN_WORDS = 400_000
+"""Words whose ids a task keeps from one slice to the next. Beyond it, it starts anew."""
+
+
+class Known:
+    """Ids of the words met so far, so that a task encodes a word once and not once a slice."""
+
+    def __init__(self, encode):
+        self.encode = encode
+        self.clear()
+
+    def clear(self) -> None:
+        self.words = pa.array([], pa.string())
+        self.ids = np.zeros(0, "<u4")
+        self.start = self.size = np.zeros(0, np.int64)
+
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, size) of each of these different words in the ids that come with them."""
+        if len(self.words) > KNOWN_WORDS:
+            self.clear()
+        at = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(at))
+        ids, size = self.encode(new)
+        place = len(self.words) + np.arange(len(new))
+        self.words = pa.concat_arrays([self.words, new])
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.ids = np.concatenate([self.ids, ids.astype("<u4")])
+        index = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        index[index < 0] = place
+        return self.start[index], self.size[index], self.ids
+
+
+UNRANKED = np.int32(2**31 - 1)
+
+
+def ranks(table: MergeTable, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Rank of each pair, UNRANKED without one. Few pairs meet another one in their slot and look further."""
+    key = left.astype(np.int64) * table.size + right
+    result = np.full(len(key), UNRANKED)
+    open_ = np.arange(len(key))
+    for factor, level in table.levels:
+        at = level[MergeTable._slot(key[open_], factor)]
+        found = table.keys[at] == key[open_]
+        result[open_[found]] = at[found]
+        open_ = open_[~found & (at < len(table.keys) - 1)]
+    return result
+
+
+def merge_all(table: MergeTable, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Surviving symbols of all pre-tokens, one after the other, and how many each has.
+
+    The same rounds as ``MergeTable.encode``; the rank of a pair is looked up again only
+    where one of its symbols is new.
+    """
+    ids = ids.astype(np.int32)
+    owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    rank = np.full(len(ids), UNRANKED)
+    inside = np.flatnonzero(owner[:-1] == owner[1:])
+    rank[inside] = ranks(table, ids[inside], ids[inside + 1])
+    done_ids, done_owner = [], []
+    while len(ids):
+        starts = np.flatnonzero(np.diff(owner, prepend=-1))
+        sizes = np.diff(np.append(starts, len(ids)))
+        least = np.minimum.reduceat(rank, starts)
+        ended = least == UNRANKED
+        if 4 * np.count_nonzero(ended) >= len(starts):
+            done = np.repeat(ended, sizes)
+            done_owner.append(owner[done])
+            done_ids.append(ids[done])
+            ids, owner, rank = ids[~done], owner[~done], rank[~done]
+            sizes, least = sizes[~ended], least[~ended]
+        where = np.flatnonzero((rank == np.repeat(least, sizes)) & (rank != UNRANKED))
+        # In a row of overlapping occurrences (a a a) every other one merges, from the left.
+        run = np.flatnonzero(np.diff(where, prepend=-2) != 1)
+        if len(run) < len(where):
+            where = where[(np.arange(len(where)) - np.repeat(run, np.diff(np.append(run, len(where))))) % 2 == 0]
+        ids[where] = table.results[rank[where]]
+        keep = np.ones(len(ids), bool)
+        keep[where + 1] = False
+        ids, owner, rank = ids[keep], owner[keep], rank[keep]
+        new = where - np.arange(len(where))
+        changed = np.concatenate([new, new - 1])
+        changed = changed[(changed >= 0) & (changed < len(ids) - 1)]
+        rank[new] = UNRANKED
+        changed = changed[owner[changed] == owner[changed + 1]]
+        rank[changed] = ranks(table, ids[changed], ids[changed + 1])
+    owner, ids = joined(done_owner, np.int32), joined(done_ids, np.int32)
+    return ids[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(lengths))
+
+
 class ByteVocabulary:
     """A byte-level vocabulary: ids of texts, and the bytes of each id."""
 
@@ -51,6 +143,7 @@ class ByteVocabulary:
         self.bytes = byte_of[points]
         self.length = np.fromiter(map(len, letters), np.int64, self.size)
         self.start = np.cumsum(self.length) - self.length
+        self.known = Known(self._words)
 
     def encode(self, texts: pa.Array, special: bool) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each has.
@@ -77,14 +170,15 @@ class ByteVocabulary:
         code = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         first = np.zeros(len(code), bool)
         first[np.cumsum(sizes)[sizes > 0] - sizes[sizes > 0]] = True
-        ids = Ragged(len(code))
+        words, at = [], np.zeros(len(code), np.int64)
         for places, space in ((np.flatnonzero(first), ""), (np.flatnonzero(~first), " ")):
             number = np.cumsum(np.bincount(code[places], minlength=len(encoded.dictionary)) > 0)
-            used = np.flatnonzero(np.diff(number, prepend=0))
-            words = pc.binary_join_element_wise(space, encoded.dictionary.take(pa.array(used)), "")
-            ids.put(places, *self._words(words), number[code[places]] - 1)
-        ends = np.append(0, np.cumsum(ids.size))[np.append(0, np.cumsum(sizes))]
-        return ids.take(np.arange(len(code))), np.diff(ends)
+            at[places] = number[code[places]] - 1 + sum(map(len, words))
+            used = encoded.dictionary.take(pa.array(np.flatnonzero(np.diff(number, prepend=0))))
+            words.append(pc.binary_join_element_wise(space, used, ""))
+        start, size, ids = self.known(pa.concat_arrays(words))
+        ends = np.append(0, np.cumsum(size[at]))[np.append(0, np.cumsum(sizes))]
+        return ids[ranges(start[at], size[at])], np.diff(ends)
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words, one after the other, and how many each has."""
@@ -108,7 +202,7 @@ class ByteVocabulary:
             runs = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data[: start[-1]]))
             runs = runs.dictionary_encode()
             ids = Ragged(len(runs.dictionary))
-            ids.put(np.arange(len(runs.dictionary)), *self.merges.encode(*self.merges.bytes_of(runs.dictionary)))
+            ids.put(np.arange(len(runs.dictionary)), *merge_all(self.merges, *self.merges.bytes_of(runs.dictionary)))
             code = runs.indices.to_numpy(zero_copy_only=False)
             so_far = np.append(0, np.cumsum(ids.size[code]))
             # Runs that start before a byte: so many belong to the words before.
@@ -134,7 +228,7 @@ class ByteVocabulary:
         words = [u for u in units if not u.startswith(" ")]
         points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        ids.put(np.flatnonzero(~marked), *self.merges.encode(self.merges.symbol[points], lengths))
+        ids.put(np.flatnonzero(~marked), *merge_all(self.merges, self.merges.symbol[points], lengths))
         known = np.array([self.special[u[1:]] for u in units if u.startswith(" ")], np.int64)
         ids.put(np.flatnonzero(marked), known, np.ones(len(known), np.int64))
         code = np.array(code, np.int64)
@@ -175,6 +269,7 @@ class PieceVocabulary:
         self.bytes = np.frombuffer(b"".join(data), np.uint8)
         self.length = np.fromiter(map(len, data), np.int64, self.size)
         self.start = np.cumsum(self.length) - self.length
+        self.known = Known(self._library)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each has.
@@ -191,10 +286,9 @@ class PieceVocabulary:
         sizes = pc.list_value_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
         encoded = pieces.flatten().dictionary_encode()
         code = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        words = Ragged(len(encoded.dictionary))
-        words.put(np.arange(len(encoded.dictionary)), *self._library(encoded.dictionary))
-        ends = np.append(0, np.cumsum(words.size[code]))[np.append(0, np.cumsum(sizes))]
-        result.put(plain, words.take(code), np.diff(ends))
+        start, size, ids = self.known(encoded.dictionary)
+        ends = np.append(0, np.cumsum(size[code]))[np.append(0, np.cumsum(sizes))]
+        result.put(plain, ids[ranges(start[code], size[code])], np.diff(ends))
         return result.take(np.arange(len(texts))), result.size
 
     def _library(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -13,8 +13,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
-LEAST = 6
-"""Occurrences from which a pair is worth a rule."""
+LEAST = 12
+"""Occurrences from which a rule saves more than it takes: two symbols and a length."""
 
 SLOT_BITS = 18
 SPREAD = 4
@@ -107,7 +107,7 @@ def _unbits(data: bytes, at: int, count: int, width: int) -> np.ndarray:
 
 def repair(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST) -> Grammar:
     """The grammar of documents that end at ``ends`` in ``ids``; all ids are below ``base``."""
-    symbols = ids.astype(np.int64)
+    symbols = ids.astype(np.int32)
     inner = np.ones(len(symbols), bool)
     inner[ends[ends > 0] - 1] = False
     live = inner.copy()  # places whose pair may still be frequent: a pair never becomes more so
@@ -115,7 +115,7 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST) ->
     turn = 0
     while True:
         where = np.flatnonzero(live)
-        key = (symbols[where] << 32) | symbols[where + 1]
+        key = (symbols[where].astype(np.int64) << 32) | symbols[where + 1]
         pairs, code, rare = _frequent(key, least, turn)
         turn += 1
         live[where[rare]] = False
