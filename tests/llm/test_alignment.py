@@ -16,6 +16,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from wardmart.llm import align as L
+from wardmart.llm.base import text_slices
 from wardmart.llm.encode import byte_vocabulary, piece_vocabulary
 
 A, B = (public_tokenizers.path(name) for name in (L.VOCABULARY_A, L.VOCABULARY_B))
@@ -91,15 +92,14 @@ def test_empty_table(no_docs):
     assert L.align(no_docs).collect() == []
 
 
-def test_a_text_above_a_slice(spark, monkeypatch):
-    """Small slices, so that every text is one of its own and pairs are counted across slices."""
-    import wardmart.llm.base as base
-
-    monkeypatch.setattr(base, "SLICE_BYTES", 40)
+def test_a_text_above_a_slice(monkeypatch):
+    """Small slices, so that a text is one of its own and pairs are counted across slices."""
+    monkeypatch.setattr(L, "SLICE_BYTES", 40)
     texts = pa.array([x for x in ODD if x])
     batch = pa.RecordBatch.from_arrays([texts], ["text"])
-    assert sum(s.num_rows for s in base.text_slices([batch])) == len(texts)
-    assert len(list(base.text_slices([batch]))) > 5
+    parts = list(text_slices([batch], size=L.SLICE_BYTES))
+    assert sum(s.num_rows for s in parts) == len(texts)
+    assert len(parts) > 5
 
 
 def test_pairs_in_small_blocks(monkeypatch):

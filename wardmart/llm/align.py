@@ -27,7 +27,10 @@ from wardmart.llm.encode import byte_vocabulary, piece_vocabulary
 c = F.col
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-PAIRS_AT_ONCE = 2_000_000
+SLICE_BYTES = 2_000_000
+"""Text that is aligned at once: each byte of it takes some 200 in arrays."""
+
+PAIRS_AT_ONCE = 1_000_000
 
 DOCUMENT = (
     "slice long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -175,7 +178,7 @@ def _describe(path_a: str | None, path_b: str | None):
         model_a = byte_vocabulary(path_a or public_tokenizers.path(VOCABULARY_A))
         model_b = piece_vocabulary(path_b or public_tokenizers.path(VOCABULARY_B))
         number = TaskContext.get().partitionId() << 32
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, size=SLICE_BYTES):
             texts = texts_of(batch)
             rows = len(texts)
             a, b, groups = aligned_slice(texts, model_a, model_b)

@@ -65,13 +65,16 @@ def _ship(spark: SparkSession) -> None:
 _SHIPPED: set[str] = set()
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about SLICE_BYTES of text each."""
+def text_slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", size: int | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` (SLICE_BYTES) bytes of text each."""
+    size = size or SLICE_BYTES
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        share = (np.cumsum(sizes, dtype=np.int64) - sizes) // SLICE_BYTES
+        share = (np.cumsum(sizes, dtype=np.int64) - sizes) // size
         cuts = np.flatnonzero(np.diff(share)) + 1
         for start, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             yield batch.slice(start, end - start)
