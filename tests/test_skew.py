@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from wardmart.functions.skew import hot_keys, left_join_dealt, left_join_spread
+from wardmart.functions.skew import SHARES, hot_keys, left_join_dealt, left_join_spread, split_hot
 
 
 def visits(spark, rows=3000):
@@ -15,14 +15,47 @@ def visits(spark, rows=3000):
     return spark.range(rows).select(key.alias("k"), F.col("id").alias("v"))
 
 
+def found(hot):
+    return {row["k"]: row[SHARES] for row in hot.collect()}
+
+
 def test_hot_keys_and_their_shares(spark):
-    assert hot_keys(visits(spark), "k", rows_per_task=250) == {"hot": 4}
-    assert hot_keys(visits(spark), "k", rows_per_task=150) == {"hot": 7, None: 2}
-    assert hot_keys(visits(spark), "k") == {}
+    assert found(hot_keys(visits(spark), "k", rows_per_task=250)) == {"hot": 4}
+    assert found(hot_keys(visits(spark), "k", rows_per_task=150)) == {"hot": 7, None: 2}
+    assert found(hot_keys(visits(spark), "k")) == {}
 
 
 def test_no_rows_no_hot_keys(spark):
-    assert hot_keys(visits(spark).where("false"), "k", 1) == {}
+    assert found(hot_keys(visits(spark).where("false"), "k", 1)) == {}
+
+
+def test_any_number_of_hot_keys_is_found_and_split(spark):
+    """2000 keys with four rows each, and a row alone: counts are exact, so none is missed."""
+    rows = spark.range(8001).select(
+        F.when(F.col("id") < 8000, F.col("id") % 2000).otherwise(-5).alias("k"), F.col("id").alias("_row")
+    )
+    hot = hot_keys(rows, "k", 2)
+    assert found(hot) == dict.fromkeys(range(2000), 2)
+    usual, heavy = split_hot(rows, "k", hot)
+    assert [r["k"] for r in usual.collect()] == [-5]
+    assert heavy.count() == 8000
+    joined = left_join_dealt(rows, spark.range(2000).withColumnRenamed("id", "k"), "k", "_row", hot)
+    assert joined.count() == 8001
+
+
+def test_defining_a_join_starts_no_job(spark):
+    """Exact counts are part of the plan."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("define", "")
+    try:
+        left = visits(spark).withColumn("_row", F.monotonically_increasing_id())
+        hot = hot_keys(left, "k", 100)
+        right = left.groupBy("k").agg(F.min("v").alias("first"))
+        left_join_dealt(left, right, "k", "_row", hot)
+        left_join_spread(right, *split_hot(left, "k", hot), "k", "_row", hot)
+        assert list(tracker.getJobIdsForGroup("define")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 @pytest.mark.parametrize("rows_per_task", [100, 10_000])
@@ -31,7 +64,7 @@ def test_spread_join_is_a_left_join(spark, rows_per_task):
     keys = ["hot", "v1", "v2", "absent", None, "hot"]
     left = spark.createDataFrame(list(enumerate(keys)), "n int, k string")
     hot = hot_keys(right, "k", rows_per_task)
-    got = left_join_spread(left, right, "k", "_row", hot)
+    got = left_join_spread(left, *split_hot(right, "k", hot), "k", "_row", hot)
     wanted = left.join(right.drop("_row"), "k", "left")
     assert got.columns == wanted.columns
     assert got.exceptAll(wanted).isEmpty()
@@ -64,12 +97,12 @@ def test_dealt_join_spreads_hot_and_missing_keys(spark):
     try:
         left = visits(spark, 30_000).withColumn("_row", F.monotonically_increasing_id())
         right = left.groupBy("k").agg(F.min("v").alias("first"))
-        for hot, most in (({}, 9_000), (hot_keys(left, "k", 500), 2_500)):
-            joined = left_join_dealt(left, right, "k", "_row", hot)
+        for rows_per_task, most in ((1_000_000, 9_000), (500, 2_500)):
+            joined = left_join_dealt(left, right, "k", "_row", hot_keys(left, "k", rows_per_task))
             parts = joined.groupBy(F.spark_partition_id())
             sizes = parts.agg(F.count("*").alias("count"), F.max("first")).collect()
             assert sum(r["count"] for r in sizes) == 30_000
-            assert (max(r["count"] for r in sizes) > most) == (not hot)
+            assert (max(r["count"] for r in sizes) > most) == (rows_per_task == 1_000_000)
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)

@@ -28,24 +28,28 @@ def dense_key(store: TableStore, name: str, df: DataFrame, order: list[str], key
 
     A window without partitions would sort the table in one task. Instead:
 
-    1. range-partition and sort by ``order``; the row id as last column lets even
-       identical rows spread over partitions. Write that with each row's position
-       (partition number in the high bits, row in partition in the low bits).
-    2. count rows per partition and run a sum over those few counts.
-    3. key = rows in earlier partitions + row in partition + 1: a map-only pass.
-
-    The write in step 1 is what makes steps 2 and 3 agree: range bounds come from
-    a sample, so a plan run twice could cut the ranges differently.
+    1. write the input as it comes, so that whatever joins made it run once: range
+       bounds come from a sample, and taking it evaluates the input a second time.
+    2. range-partition and sort the written rows by ``order``; their row number as last
+       column lets even identical rows spread over partitions. Write that with each
+       row's position (partition number in the high bits, row in partition in the low
+       bits).
+    3. count rows per partition and run a sum over those few counts.
+    4. key = rows in earlier partitions + row in partition + 1: a map-only pass.
+
+    The write in step 2 is what makes steps 3 and 4 agree: a plan run twice could cut
+    the ranges differently.
     """
     columns = [c for c in df.columns if c != ROW_ID]
-    sort = [F.col(c).asc_nulls_last() for c in order]
-    if ROW_ID in df.columns:
-        sort.append(F.col(ROW_ID).asc())
-    ordered = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    rows = with_row_id(store.write(f"{name}__unordered", df.select(*columns)))
+    sort = [*[F.col(c).asc_nulls_last() for c in order], F.col(ROW_ID).asc()]
+    ordered = rows.repartitionByRange(*sort).sortWithinPartitions(*sort)
     staged = store.write(
         f"{name}__ordered", ordered.select(*columns, F.monotonically_increasing_id().alias(_POS))
     )
 
+    store.release(f"{name}__unordered")
+
     run = F.shiftright(F.col(_POS), _RUN_BITS)
     row = F.col(_POS).bitwiseAND(F.lit((1 << _RUN_BITS) - 1))
     earlier = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,106 +1,82 @@
 """Finding hot keys, and joining around them.
 
-A hot key never changes which rows come out, only how they are spread: an
-estimate that misses one costs time, not correctness.
+A hot key never changes which rows come out, only how they are spread. Hot keys are
+a DataFrame (key, shares) from exact counts, so nothing runs while a query is being
+defined, and every key above one task's share is among them, however many there are.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 1_000_000
 """A key with more rows than this is split."""
 
-TRACKED = 1_000
-"""Keys reported by the sketch. Any key above 1/1000 of the rows is among them."""
-
-
-def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> dict[object, int]:
-    """Keys with more rows than one task should take, and into how many shares to split them.
-
-    One aggregate over one column: a fixed-size sketch per task, one row back. None
-    stands for rows without a key.
-    """
-    sketch = f"approx_top_k({key}, {TRACKED}, {TRACKED * 10}) filter (where {key} is not null)"
-    row = df.agg(F.expr(sketch).alias("top"), F.count_if(F.col(key).isNull()).alias("none")).first()
-    found = {item["item"]: item["count"] for item in row["top"] or []} | {None: row["none"]}
-    return {k: math.ceil(n / rows_per_task) for k, n in found.items() if n > rows_per_task}
-
+SHARES = "_shares"
+_HOT = "_hot"
+_SHARE = "_share"
 
-def shares_of(key: Column, hot: dict[object, int]) -> Column:
-    """Number of shares for a row's key, 1 for keys that are not hot."""
-    known = _without_null(hot)
-    shares = F.coalesce(F.element_at(_literal_map(known), key), F.lit(1)) if known else F.lit(1)
-    return F.when(key.isNull(), F.lit(hot[None])).otherwise(shares) if None in hot else shares
 
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """(key, _shares): keys with more rows than one task should take, and how to split them.
 
-def share_of_row(row_id: Column, key: Column, hot: dict[object, int]) -> Column:
-    """The one share this row belongs to.
-
-    ``row_id`` must be fixed at the scan, so that a task that runs again after a
-    lost executor puts its rows into the same shares.
+    Counts combine before the shuffle. NULL stands for rows without a key.
     """
-    return F.pmod(row_id, shares_of(key, hot)).cast("int")
-
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task)
+    return counts.select(key, F.ceil(F.col("_n") / rows_per_task).cast("int").alias(SHARES))
 
-def every_share(key: Column, hot: dict[object, int]) -> Column:
-    """All shares of a key, for the side of a join that is repeated once per share."""
-    return F.explode(F.sequence(F.lit(0), shares_of(key, hot) - 1))
 
-
-def left_join_dealt(
-    left: DataFrame, right: DataFrame, key: str, row_id: str, hot: dict[object, int]
-) -> DataFrame:
+def left_join_dealt(left: DataFrame, right: DataFrame, key: str, row_id: str, hot: DataFrame) -> DataFrame:
     """Left join where ``left`` may be full of the ``hot`` keys and ``right`` has one row per key.
 
     For a right side that comes out of an aggregate: adaptive execution splits only
     joins that read both sides straight from a shuffle. Left rows are dealt over the
     shares of their key, also those without a key; the few right rows are repeated.
+
+    ``row_id`` must be fixed at the scan, so that a task that runs again after a lost
+    executor puts its rows into the same shares.
     """
-    if not hot:
-        return left.join(right, key, "left")
-    dealt = left.withColumn("_share", share_of_row(F.col(row_id), F.col(key), hot))
-    repeated = right.withColumn("_share", every_share(F.col(key), hot))
-    return dealt.join(repeated, [key, "_share"], "left").drop("_share")
+    shares = F.coalesce(SHARES, F.lit(1))
+    dealt = left.join(_known(hot, key), F.col(key).eqNullSafe(F.col(_HOT)), "left").withColumn(
+        _SHARE, F.pmod(F.col(row_id), shares).cast("int")
+    )
+    repeated = _repeated(right.join(_known(hot, key), F.col(key) == F.col(_HOT), "left"), shares)
+    return dealt.drop(_HOT, SHARES).join(repeated, [key, _SHARE], "left").drop(_SHARE)
+
+
+def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of all other keys (also those without a key), and the rows of hot keys."""
+    at = F.col(key) == F.col(_HOT)
+    return df.join(_known(hot, key), at, "left_anti"), df.join(_known(hot, key), at, "left_semi")
 
 
 def left_join_spread(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    right_row_id: str,
-    hot: dict[object, int],
+    left: DataFrame, usual: DataFrame, heavy: DataFrame, key: str, right_row_id: str, hot: DataFrame
 ) -> DataFrame:
     """Left join on ``key`` where the right side may be full of the ``hot`` keys.
 
-    Adaptive execution can split a skewed left side of an outer join but not the
-    right. A key that is hot on the right is known to exist there, so its rows
-    need no outer join: they join inner on (key, share), right rows dealt out
-    over the shares and left rows repeated per share.
+    ``usual`` and ``heavy`` are the right side cut by ``split_hot``. Adaptive execution
+    can split a skewed left side of an outer join but not the right. A key that is hot
+    on the right is known to exist there, so its rows need no outer join: they join
+    inner on (key, share), right rows dealt out over the shares and left rows repeated
+    per share. ``usual`` may be a table bucketed by the key, which then does not move.
     """
-    hot = _without_null(hot)
-    if not hot:
-        return left.join(right.drop(right_row_id), key, "left")
-    is_hot = F.col(key).isin(list(hot))
-    usual = left.where(F.col(key).isNull() | ~is_hot).join(
-        right.where(~is_hot).drop(right_row_id), key, "left"
-    )
-    dealt = (
-        right.where(is_hot)
-        .withColumn("_share", share_of_row(F.col(right_row_id), F.col(key), hot))
-        .drop(right_row_id)
+    others, _ = split_hot(left, key, hot)
+    at = F.col(key) == F.col(_HOT)
+    dealt = heavy.join(_known(hot, key), at).withColumn(
+        _SHARE, F.pmod(F.col(right_row_id), F.col(SHARES)).cast("int")
     )
-    repeated = left.where(is_hot).withColumn("_share", every_share(F.col(key), hot))
-    heavy = repeated.join(dealt, [key, "_share"]).drop("_share")
-    return usual.unionByName(heavy)
+    repeated = _repeated(left.join(_known(hot, key), at), F.col(SHARES))
+    spread = repeated.join(dealt.drop(_HOT, SHARES, right_row_id), [key, _SHARE]).drop(_SHARE)
+    return others.join(usual.drop(right_row_id), key, "left").unionByName(spread)
 
 
-def _without_null(hot: dict[object, int]) -> dict[object, int]:
-    return {key: shares for key, shares in hot.items() if key is not None}
+def _known(hot: DataFrame, key: str) -> DataFrame:
+    """Broadcast by its bound: fewer keys than tasks that the rows would fill."""
+    return F.broadcast(hot.select(F.col(key).alias(_HOT), SHARES))
 
 
-def _literal_map(hot: dict[object, int]) -> Column:
-    return F.create_map(*[F.lit(part) for pair in hot.items() for part in pair])
+def _repeated(rows: DataFrame, shares: Column) -> DataFrame:
+    """Each row once per share of its key."""
+    return rows.withColumn(_SHARE, F.explode(F.sequence(F.lit(0), shares - 1))).drop(_HOT, SHARES)

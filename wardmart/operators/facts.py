@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardmart.functions.keys import ROW_ID
 from wardmart.functions.skew import left_join_spread
 
 c = F.col
@@ -109,17 +108,20 @@ def fct_kunjungan(enriched: DataFrame, dim_tanggal: DataFrame) -> DataFrame:
             "kode_tipe_appt": "kode_tipe_appointment",
         }
     )
-    return named.select(*[_or_unknown(name) for name in FCT_KUNJUNGAN], ROW_ID)
+    return named.select(*[_or_unknown(name) for name in FCT_KUNJUNGAN])
 
 
 def fct_diagnosis(
     diagnoses: DataFrame,
-    visit_keys: DataFrame,
+    visit_keys: tuple[DataFrame, DataFrame],
     rooms: DataFrame,
     dim_tanggal: DataFrame,
-    hot_visits: dict[object, int],
+    hot_visits: DataFrame,
 ) -> DataFrame:
-    """Room and department come from the diagnosis, each on its own, else from the visit."""
+    """Room and department come from the diagnosis, each on its own, else from the visit.
+
+    ``visit_keys`` are those of all other visit numbers, and of the hot ones.
+    """
     own_room = rooms.withColumnsRenamed(
         {"ruangan_key": "own_room_key", "departemen_key": "own_department_key"}
     )
@@ -128,7 +130,7 @@ def fct_diagnosis(
         "tanggal_diagnosis",
         "left",
     )
-    joined = left_join_spread(located, visit_keys, "refr_no", VISIT_ROW, hot_visits)
+    joined = left_join_spread(located, *visit_keys, "refr_no", VISIT_ROW, hot_visits)
     confirmed = c("deskripsi_status").like("%Confirmed%") | (c("deskripsi_status") == "Recurrent")
     measured = joined.withColumns(
         {
@@ -140,21 +142,21 @@ def fct_diagnosis(
             "is_confirmed": F.coalesce(confirmed, F.lit(False)),
         }
     )
-    return measured.select(*[_or_unknown(name) for name in FCT_DIAGNOSIS], ROW_ID)
+    return measured.select(*[_or_unknown(name) for name in FCT_DIAGNOSIS])
 
 
 def fct_tindakan_medis(
     treatments: DataFrame,
-    visit_keys: DataFrame,
+    visit_keys: tuple[DataFrame, DataFrame],
     dim_tanggal: DataFrame,
-    hot_visits: dict[object, int],
+    hot_visits: DataFrame,
 ) -> DataFrame:
     dated = treatments.join(
         date_lookup(dim_tanggal, "tanggal_tindakan", "tanggal_tindakan_key"),
         "tanggal_tindakan",
         "left",
     )
-    joined = left_join_spread(dated, visit_keys, "refr_no", VISIT_ROW, hot_visits)
+    joined = left_join_spread(dated, *visit_keys, "refr_no", VISIT_ROW, hot_visits)
     measured = joined.withColumn("jumlah_tindakan", F.lit(1)).withColumnsRenamed(
         {
             "kode_tipe": "kode_tipe_tindakan",
@@ -164,7 +166,7 @@ def fct_tindakan_medis(
             "total_biaya": "total_biaya_tindakan",
         }
     )
-    return measured.select(*[_or_unknown(name) for name in FCT_TINDAKAN_MEDIS], ROW_ID)
+    return measured.select(*[_or_unknown(name) for name in FCT_TINDAKAN_MEDIS])
 
 
 def _or_unknown(name: str) -> Column:

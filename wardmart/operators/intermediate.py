@@ -61,7 +61,7 @@ def int_dokter_per_kunjungan(
 
 
 def int_kunjungan_enriched(
-    visits: DataFrame, best: DataFrame, hot_visits: dict[object, int]
+    visits: DataFrame, best: DataFrame, hot_visits: DataFrame
 ) -> DataFrame:
     """Visits with stay length and ``best``, the nearest appointment of the previous 30 days.
 

@@ -1,8 +1,8 @@
 """Data-quality checks over the marts, each returned as rows of a DataFrame.
 
-All conditions on one mart are counted in one pass. Foreign keys are counted by
-value first, so a key held by most rows (the unknown member) is one row when it
-meets its dimension.
+All conditions on one mart are counted in one pass. Surrogate and foreign keys are
+compared as bitmaps over the dense keys, so a key held by most rows (the unknown
+member) is one bit when it meets its dimension.
 """
 
 from __future__ import annotations
@@ -172,16 +172,24 @@ def _status(value: Column, wanted: Column) -> Column:
     return F.when(met, "PASS").when(wanted == "some_or_warn", "WARN").otherwise("FAIL")
 
 
-def uniqueness(m: Marts) -> DataFrame:
-    """Rows beyond the distinct surrogate keys; NULL keys count as duplicates.
+def used_keys(keys: DataFrame, *groups: str) -> DataFrame:
+    """(*groups, word, bits, n): which values of ``key`` occur, as 64 keys a row, and their rows.
 
-    Apart from the other checks: distinct counting moves every key once, and
-    nothing else should travel with it.
+    Bits and counts combine before the shuffle, so what moves is one row per task and
+    64 neighbouring keys, never a row per key. Rows without a key have word NULL.
     """
+    bit = F.expr("shiftleft(1L, cast(key & 63 as int))")
+    return keys.groupBy(*groups, F.shiftright("key", 6).alias("word")).agg(
+        F.bit_or(bit).alias("bits"), F.count(F.lit(1)).alias("n")
+    )
+
+
+def uniqueness(m: Marts) -> DataFrame:
+    """Rows beyond the distinct surrogate keys; NULL keys count as duplicates."""
     return _stacked(
         [
-            m[mart]
-            .agg((F.count(F.lit(1)) - F.countDistinct(key)).alias("value"))
+            used_keys(m[mart].select(c(key).alias("key")))
+            .agg(F.coalesce(F.sum(c("n") - F.coalesce(F.bit_count("bits"), F.lit(0))), F.lit(0)).alias("value"))
             .select(
                 F.lit("uniqueness").alias("section"),
                 F.lit(f"{mart}.{key} unik").alias("label"),
@@ -194,32 +202,39 @@ def uniqueness(m: Marts) -> DataFrame:
 
 
 def orphans(m: Marts, null_is_orphan: bool) -> DataFrame:
-    """(fact, column, dimension, value): fact rows whose key is missing in its dimension."""
+    """(mart, column, dimension, value): fact rows whose key is missing in its dimension."""
     return _stacked([_fact_orphans(m, fact, null_is_orphan) for fact in FACT_DATES])
 
 
 def _fact_orphans(m: Marts, fact: str, null_is_orphan: bool) -> DataFrame:
+    """Each key column is read on its own, and its bitmap compared with the dimension's.
+
+    Only for words with a bit that the dimension lacks, normally none, are the fact's
+    rows looked at again.
+    """
     keys = foreign_keys(fact)
-    pairs = F.array(
-        *[
-            F.struct(F.lit(fk).alias("column"), F.lit(dim).alias("dimension"), c(fk).alias("key"))
-            for fk, dim in keys.items()
-        ]
-    )
-    used = m[fact].select(F.inline(pairs)).groupBy("column", "dimension", "key")
-    by_value = used.agg(F.count(F.lit(1)).alias("n"))
-    known = _stacked(
+    dims = list(dict.fromkeys(keys.values()))
+    rows = _stacked(
         [
-            m[dim].select(F.lit(dim).alias("dimension"), c(SURROGATE_KEYS[dim]).alias("key"))
-            for dim in dict.fromkeys(keys.values())
+            m[fact].select(F.lit(i).alias("fk"), F.lit(dims.index(dim)).alias("dim"), c(fk).alias("key"))
+            for i, (fk, dim) in enumerate(keys.items())
         ]
     )
-    missing = by_value.join(known.where(c("key").isNotNull()), ["dimension", "key"], "left_anti")
-    if not null_is_orphan:
-        missing = missing.where(c("key").isNotNull())
-    totals = missing.groupBy("column").agg(F.sum("n").alias("n"))
-    listed = _listing(m[fact].sparkSession, [(fact, fk, dim) for fk, dim in keys.items()], "dimension")
-    return listed.join(totals, "column", "left").select(
+    known = _stacked(
+        [m[dim].select(F.lit(j).alias("dim"), c(SURROGATE_KEYS[dim]).alias("key")) for j, dim in enumerate(dims)]
+    ).where(c("key").isNotNull())
+    known = used_keys(known, "dim").select("dim", "word", c("bits").alias("known"))
+    used = used_keys(rows.where(c("key").isNotNull()), "fk", "dim")
+    unknown = c("bits").bitwiseAND(F.bitwise_not(F.coalesce("known", F.lit(0).cast("bigint"))))
+    lacking = used.join(known, ["dim", "word"], "left").select("fk", "word", unknown.alias("lacking"))
+    again = rows.withColumn("word", F.shiftright("key", 6)).join(lacking.where("lacking <> 0"), ["fk", "word"])
+    missing = again.where("(lacking & shiftleft(1L, cast(key & 63 as int))) <> 0").select("fk")
+    if null_is_orphan:
+        missing = missing.union(rows.where(c("key").isNull()).select("fk"))
+    totals = missing.groupBy("fk").agg(F.count(F.lit(1)).alias("n"))
+    numbered = [(fact, fk, dim, i) for i, (fk, dim) in enumerate(keys.items())]
+    listed = _listing(m[fact].sparkSession, numbered, "dimension", "fk")
+    return listed.join(totals, "fk", "left").select(
         "mart", "column", "dimension", F.coalesce("n", F.lit(0)).alias("value")
     )
 
@@ -279,18 +294,16 @@ def fact_stats(m: Marts) -> DataFrame:
 
 def column_unique(m: Marts) -> DataFrame:
     """Values that occur more than once; NULL is not a value here."""
-    return _stacked(
-        [
-            m[mart]
-            .where(c(column).isNotNull())
-            .groupBy(column)
-            .count()
-            .where(c("count") > 1)
-            .agg(F.count(F.lit(1)).alias("failures"))
-            .select(F.lit(mart).alias("mart"), F.lit(column).alias("column"), "failures", _verdict())
-            for mart, column in UNIQUE
-        ]
-    )
+    parts = []
+    for mart, column in UNIQUE:
+        values = m[mart].where(c(column).isNotNull()).select(column)
+        if SURROGATE_KEYS.get(mart) == column:
+            # Only keys that share a word with a repeated one are counted one by one.
+            repeated = used_keys(values.select(c(column).alias("key"))).where(c("n") > F.bit_count("bits")).select("word")
+            values = values.withColumn("word", F.shiftright(column, 6)).join(repeated, "word", "left_semi")
+        failures = values.groupBy(column).count().where(c("count") > 1).agg(F.count(F.lit(1)).alias("failures"))
+        parts.append(failures.select(F.lit(mart).alias("mart"), F.lit(column).alias("column"), "failures", _verdict()))
+    return _stacked(parts)
 
 
 def column_not_null(m: Marts) -> DataFrame:
@@ -349,7 +362,7 @@ def _verdict() -> Column:
     return F.when(c("failures") == 0, "pass").otherwise("fail").alias("status")
 
 
-def _listing(spark: SparkSession, rows: list[tuple[str, ...]], *more: str) -> DataFrame:
+def _listing(spark: SparkSession, rows: list[tuple[str | int, ...]], *more: str) -> DataFrame:
     """The names a check reports on, so that a check without findings still has its row."""
     names = ("mart", "column", *more)
     structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]

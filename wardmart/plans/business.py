@@ -287,11 +287,13 @@ def _departments(m: Marts) -> DataFrame:
 def _since(m: Marts, day: Column) -> DataFrame:
     """Visits arriving on or after a day.
 
-    Keys follow the dates, so the day becomes a lower bound on the key that
-    reaches the scan as a pushed filter.
+    Visits lie in folders by month of arrival, so earlier months are not listed. Keys
+    follow the dates, so within the first month the day is a lower bound on the key
+    that reaches the scan as a pushed filter.
     """
     first = m["dim_tanggal"].where(c("tanggal") >= day).agg(F.min("tanggal_key")).scalar()
-    return m["fct_kunjungan"].where(c("tanggal_masuk_key") >= first)
+    month = month_number(F.year(day), F.month(day))
+    return m["fct_kunjungan_bulan"].where((c("bulan_masuk") >= month) & (c("tanggal_masuk_key") >= first))
 
 
 def _in_and_out(inpatient: str, outpatient: str) -> list[Column]:

@@ -19,10 +19,12 @@ def publish(star: Star) -> None:
     marts = star.build()
     layers = {RAW: [name for name in star.raw if name in store.names()], MARTS: list(marts)}
     for database, names in layers.items():
-        spark.sql(f"create database if not exists {database} location '{store.path(database)}'")
+        spark.sql(f"create database if not exists {database} location '{store.root}/{database}'")
         for name in names:
             spark.sql(f"drop table if exists {database}.{name}")
             spark.sql(f"create table {database}.{name} using parquet location '{store.path(name)}'")
+            if name == "fct_kunjungan":
+                spark.catalog.recoverPartitions(f"{database}.{name}")  # one folder per month of arrival
     for name in marts:
         spark.sql(f"analyze table {MARTS}.{name} compute statistics")
     for name in STAGING:

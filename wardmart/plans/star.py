@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from wardmart.functions.keys import ROW_ID, dense_key, with_row_id, with_unknown
-from wardmart.functions.skew import ROWS_PER_TASK, hot_keys
+from wardmart.functions.scalar import month_number
+from wardmart.functions.skew import ROWS_PER_TASK, hot_keys, split_hot
 from wardmart.operators import dimensions, facts, intermediate, nearest, staging
 from wardmart.session import table_root
 from wardmart.sources.projections import AS_OF, raw_tables
@@ -35,6 +36,12 @@ KEYS = {
 }
 
 KEYED_VISITS = "kunjungan_keyed"
+HOT_VISITS = "nomor_panas"
+VISIT_KEYS = "kunci_kunjungan"
+HOT_VISIT_KEYS = "kunci_kunjungan_panas"
+VISITS_BY_MONTH = "fct_kunjungan_bulan"
+ARRIVAL_MONTH = "bulan_masuk"
+"""Folder of the visit fact's rows: year and month of arrival as a number, -1 if unknown."""
 ROOMS = "kamar"
 EVENTS = "urutan_waktu"
 CARRIED = "urutan_batas"
@@ -69,7 +76,6 @@ class Star:
         self.as_of = F.lit(as_of).cast("date") if as_of else F.current_date()
         self._tables: dict[str, DataFrame] = {}
         self._locks: defaultdict[str, RLock] = defaultdict(RLock)
-        self._hot_visits: dict[object, int] = {}
 
     # staging and intermediate: lazy
 
@@ -113,13 +119,29 @@ class Star:
         return intermediate.int_kunjungan_enriched(
             with_row_id(self.table(KEYED_VISITS)),
             self.nearest_appointments(),
-            self._hot_visits,
+            self.table(HOT_VISITS),
         )
 
     def nearest_appointments(self) -> DataFrame:
         """Per visit number, from the stored order of visits and appointments."""
         return nearest.nearest_appointment(self.table(EVENTS), self.table(CARRIED))
 
+    def keyed_visits(self) -> DataFrame:
+        """Visits with their first doctor and the keys of four dimensions, NULL where none fits."""
+        return facts.keyed_visits(
+            self.visits_with_doctor().drop(ROW_ID), self.table("dim_pasien"), self.table("dim_dokter"), self.rooms()
+        )
+
+    def diagnoses(self) -> DataFrame:
+        """The diagnosis fact before it is numbered."""
+        return facts.fct_diagnosis(
+            self.staging("stg_diagnosis"),
+            (self.table(VISIT_KEYS), self.table(HOT_VISIT_KEYS)),
+            self.rooms(),
+            self.table("dim_tanggal"),
+            self.table(HOT_VISITS),
+        )
+
     def rooms(self) -> DataFrame:
         """Stored, so that its true size decides how facts are joined with it."""
         return self.table(ROOMS)
@@ -129,6 +151,8 @@ class Star:
     def table(self, name: str) -> DataFrame:
         if name in FACTS and KEYED_VISITS not in self._tables:
             self.build((name,))
+        if name == "fct_kunjungan":
+            return self.table(VISITS_BY_MONTH).drop(ARRIVAL_MONTH)
         with self._locks[name]:
             if name not in self._tables:
                 self._tables[name] = self._build(name)
@@ -143,9 +167,11 @@ class Star:
         """
         facts_wanted = [n for n in names if n in FACTS]
         dimensions_wanted = DIMENSIONS if facts_wanted else names
-        prepared = [KEYED_VISITS] if facts_wanted else []
+        prepared = [HOT_VISITS] if facts_wanted else []
         if "fct_kunjungan" in facts_wanted:
             prepared.append(CARRIED)
+        if len(facts_wanted) > ("fct_kunjungan" in facts_wanted):
+            prepared += [VISIT_KEYS, HOT_VISIT_KEYS]
         layers = (dimensions_wanted, prepared, facts_wanted)
         for layer in layers:
             with ThreadPoolExecutor(max_workers=len(DIMENSIONS)) as jobs:
@@ -187,33 +213,27 @@ class Star:
             return self.store.write(name, nearest.carried_over(self.table(EVENTS)))
         if name == KEYED_VISITS:
             self.build(DIMENSIONS)
-            keyed = facts.keyed_visits(
-                self.visits_with_doctor().drop(ROW_ID),
-                self.table("dim_pasien"),
-                self.table("dim_dokter"),
-                self.rooms(),
-            )
-            table = self.store.write(name, keyed)
-            self._hot_visits = hot_keys(table, "refr_no", self.rows_per_task)
-            return table
-        if name == "fct_kunjungan":
+            return self.store.write(name, self.keyed_visits())
+        if name == HOT_VISITS:
+            return self.store.write(name, hot_keys(self.table(KEYED_VISITS), "refr_no", self.rows_per_task))
+        if name == VISIT_KEYS:
+            usual, _ = split_hot(self._visit_keys(), "refr_no", self.table(HOT_VISITS))
+            buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            return self.store.write_bucketed(name, usual.drop(facts.VISIT_ROW), "refr_no", buckets)
+        if name == HOT_VISIT_KEYS:
+            _, heavy = split_hot(self._visit_keys(), "refr_no", self.table(HOT_VISITS))
+            return self.store.write(name, heavy)
+        if name == VISITS_BY_MONTH:
             fact = facts.fct_kunjungan(self.enriched_visits(), self.table("dim_tanggal"))
-            return self._fact(name, fact, ["refr_no"], facts.FCT_KUNJUNGAN)
+            return self._visit_fact("fct_kunjungan", fact)
         if name == "fct_diagnosis":
-            fact = facts.fct_diagnosis(
-                with_row_id(self.staging("stg_diagnosis")),
-                self._visit_keys(),
-                self.rooms(),
-                self.table("dim_tanggal"),
-                self._hot_visits,
-            )
-            return self._fact(name, fact, ["refr_no", "urutan_diagnosis"], facts.FCT_DIAGNOSIS)
+            return self._fact(name, self.diagnoses(), ["refr_no", "urutan_diagnosis"], facts.FCT_DIAGNOSIS)
         if name == "fct_tindakan_medis":
             fact = facts.fct_tindakan_medis(
-                with_row_id(self.staging("stg_tindakan_medis")),
-                self._visit_keys(),
+                self.staging("stg_tindakan_medis"),
+                (self.table(VISIT_KEYS), self.table(HOT_VISIT_KEYS)),
                 self.table("dim_tanggal"),
-                self._hot_visits,
+                self.table(HOT_VISITS),
             )
             return self._fact(name, fact, ["refr_no", "urutan_tindakan"], facts.FCT_TINDAKAN_MEDIS)
         raise KeyError(name)
@@ -237,6 +257,21 @@ class Star:
         keyed = dense_key(self.store, name, fact, order, KEYS[name])
         return self._replace(name, self._stamped(name, keyed))
 
+    def _visit_fact(self, name: str, fact: DataFrame) -> DataFrame:
+        """The visit fact in one folder per month of arrival, rows of a file in key order.
+
+        Adaptive execution cuts months with many rows into several files and lets no task
+        write more than its advisory share.
+        """
+        order = facts.key_order(["refr_no"], facts.FCT_KUNJUNGAN)
+        keyed = self._stamped(name, dense_key(self.store, name, fact, order, KEYS[name]))
+        day = F.date_add(F.lit(dimensions.CALENDAR[0]).cast("date"), F.col("tanggal_masuk_key").cast("int") - 1)
+        month = F.when(F.col("tanggal_masuk_key") > 0, month_number(F.year(day), F.month(day))).otherwise(-1)
+        rows = keyed.withColumn(ARRIVAL_MONTH, month.cast("int")).hint("rebalance", ARRIVAL_MONTH)
+        table = self.store.write(name, rows.sortWithinPartitions(ARRIVAL_MONTH, KEYS[name]), ARRIVAL_MONTH)
+        self.store.release(f"{name}__ordered")
+        return table
+
     def _stamped(self, name: str, df: DataFrame) -> DataFrame:
         df = df.withColumn("dw_load_date", self._stamp())
         overwritten = name in ("dim_departemen", "dim_ruangan")

@@ -55,7 +55,7 @@ def ingest_csv(star: Star) -> DataFrame:
             "VIS_EX": F.when(room % 70 == 9, "never").otherwise(c("VIS_EX")),
         }
     )
-    folder = star.store.path("csv/visits")
+    folder = f"{star.store.root}/csv/visits"
     broken.write.mode("overwrite").option("header", True).csv(folder)
     loaded = read_csv(star.spark, [folder], raw_schema("stg_ehp__vist"))
     return star.store.write("raw_visits", loaded)
@@ -120,7 +120,7 @@ def join_nearest_match(star: Star) -> DataFrame:
 
 def join_star_lookup(star: Star) -> DataFrame:
     """Visits with every dimension key, -1 where none fits."""
-    visits = star.table("kunjungan_keyed").join(
+    visits = star.keyed_visits().join(
         facts.date_lookup(star.table("dim_tanggal"), "tanggal_masuk", "tanggal_masuk_key"),
         "tanggal_masuk",
         "left",
@@ -147,8 +147,7 @@ def join_role_playing_date(star: Star) -> DataFrame:
 
 def join_fallback_lookup(star: Star) -> DataFrame:
     """Room and department of each diagnosis: its own, else its visit's, else unknown."""
-    fact = star.table("fct_diagnosis")
-    return fact.select(
+    return star.diagnoses().select(
         "refr_no", "urutan_diagnosis", "kode_diagnosis", "waktu_diagnosis", "ruangan_key", "departemen_key"
     )
 

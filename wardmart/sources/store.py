@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -9,6 +11,10 @@ from pyspark.sql import types as T
 class TableStore:
     """Named Parquet tables, each fully replaced on write.
 
+    A write goes to a new folder, and the name moves there when the write is done: who
+    reads the table meanwhile goes on with the old files, and a failed write leaves the
+    table as it was. The files of earlier versions stay until ``expire``.
+
     A written table also cuts lineage: what reads it does not depend on any
     executor's memory or shuffle files.
     """
@@ -17,30 +23,65 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self._schemas: dict[str, T.StructType] = {}
+        self._paths: dict[str, str] = {}
+        self._bucketed: dict[str, str] = {}
+        self._old: list[str] = []
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        """The folder of the table's current version."""
+        return self._paths[name]
+
+    def write(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+        path = self._new_path(name)
+        writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
+        writer.parquet(path)
+        self._switch(name, path, df)
+        self._bucketed.pop(name, None)
+        return self.read(name)
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
-        self._schemas[name] = _nullable(df.schema)
+    def write_bucketed(self, name: str, df: DataFrame, key: str, buckets: int) -> DataFrame:
+        """Rows in buckets of ``key``: joins on it do not move them again.
+
+        One task writes a bucket, so keys that hold too many rows must be kept apart.
+        Buckets are known to the catalog alone, hence a table there under a name of
+        its own, over the files of this version.
+        """
+        path, table = self._new_path(name), f"wardmart_{name}_{uuid.uuid4().hex[:12]}"
+        dealt = df.repartition(buckets, key)
+        dealt.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+        self._switch(name, path, df)
+        self._bucketed[name] = table
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:
-        reader = self.spark.read
-        if name in self._schemas:
-            reader = reader.schema(self._schemas[name])
-        return reader.parquet(self.path(name))
+        if name in self._bucketed:
+            return self.spark.table(self._bucketed[name])
+        return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
 
     def release(self, name: str) -> None:
         """Give back the space of a table that nothing reads any more."""
+        self._old.append(self._paths.pop(name))
         del self._schemas[name]
-        self.spark.range(0).coalesce(1).write.mode("overwrite").parquet(self.path(name))
+        self.expire()
+
+    def expire(self) -> None:
+        """Remove the files of earlier versions, when no one reads them any more."""
+        while self._old:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self._old.pop())
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def names(self) -> list[str]:
         """Catalog listing of the tables written through this store."""
         return sorted(self._schemas)
 
+    def _new_path(self, name: str) -> str:
+        return f"{self.root}/{name}/{uuid.uuid4().hex[:12]}"
+
+    def _switch(self, name: str, path: str, df: DataFrame) -> None:
+        if name in self._paths:
+            self._old.append(self._paths[name])
+        self._paths[name], self._schemas[name] = path, _nullable(df.schema)
+
 
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
