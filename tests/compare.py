@@ -30,6 +30,14 @@ def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def files_read(df) -> int:
+    """Files that a plain scan (no shuffle) opens."""
+    df = df.select("*")  # a plan of its own, as metrics start anew with each run
+    df.collect()
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    return scan.metrics().apply("numFiles").value()
+
+
 def plain(value: object) -> object:
     if isinstance(value, Decimal):
         return ("dec", str(value))

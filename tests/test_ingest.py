@@ -12,7 +12,7 @@ from wardmart.plans.catalog import listing, publish
 from wardmart.plans.refresh import refresh
 from wardmart.plans.star import MARTS
 from wardmart.session import table_root
-from wardmart.sources.ingest import read_csv, require_rows, row_counts, source_files
+from wardmart.sources.ingest import read_csv, read_csv_counted, require_rows, row_counts, source_files
 from wardmart.sources.projections import raw_tables
 from wardmart.sources.schemas import RAW_FILES, raw_schema
 from wardmart.sources.store import TableStore
@@ -30,6 +30,28 @@ def test_a_bad_row_is_dropped_whole(spark, tmp_path):
     assert loaded.select("id").count() == loaded.count() == 1
 
 
+def test_dropped_rows_are_counted(spark, tmp_path):
+    """The same rows stay as when bad ones are dropped by the reader; no second scan counts them."""
+    (tmp_path / "t.csv").write_text(
+        "id,n,d\n1,10,2024-01-01\n2,ten,2024-01-01\n3,30,someday\n4,40,2024-01-01,extra\n5,50\n6,,\n"
+    )
+    schema = spark.createDataFrame([], SMALL).schema
+    rows, counts = read_csv_counted(spark, [str(tmp_path / "t.csv")], schema)
+    store = TableStore(spark, table_root(spark))
+    loaded = store.write("t", rows)
+    dropping = read_csv(spark, [str(tmp_path / "t.csv")], SMALL)
+    assert sorted(loaded.collect()) == sorted(dropping.collect())
+    assert counts.get == {"read": 6, "rejected": 6 - loaded.count()}
+    assert counts.get["rejected"] >= 3
+
+
+def test_a_header_in_another_order_is_an_error_there_too(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("n,id,d\n1,2,2024-01-01\n")
+    rows, _ = read_csv_counted(spark, [str(tmp_path / "t.csv")], spark.createDataFrame([], SMALL).schema)
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        rows.collect()
+
+
 def test_quotes_and_empty_fields(spark, tmp_path):
     (tmp_path / "t.csv").write_text('a,b\n"x ""y"", z",\n')
     assert list(read_csv(spark, [str(tmp_path / "t.csv")], "a string, b string").first()) == ['x "y", z', None]
@@ -101,6 +123,8 @@ def test_archive_to_star(spark, archive, star):
     built, tests = refresh(spark, archive, table_root(spark))
     assert set(RAW_FILES) <= set(built.store.names())
     assert tests.count() == 75
+    assert set(built.rejected) == set(RAW_FILES)
+    assert built.rejected["stg_ehp__vist"] == 0
     assert tests.where("status = 'fail'").isEmpty()
     for mart in ("fct_kunjungan", "fct_diagnosis", "fct_tindakan_medis"):
         # Staff with an unreadable hire date are bad CSV rows, so doctors and keys differ.

@@ -51,6 +51,22 @@ def test_equal_rows_spread_over_partitions(spark, store, many_partitions):
     assert max(r["count"] for r in parts) < 3000
 
 
+def test_the_input_is_read_once(spark, store, many_partitions):
+    """Range bounds are sampled from the written rows, not from what made them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(value):
+        seen.add(1)
+        return value
+
+    rows = spark.range(500).select(counted("id").alias("a"))
+    keyed = dense_key(store, "once", rows, ["a"], "key")
+    assert keyed.agg(F.max("key")).first()[0] == 500
+    assert seen.value == 500
+    assert "once__unordered" not in store.names()
+
+
 def test_only_the_few_partition_counts_meet_in_one_task(spark, store):
     rows = with_row_id(spark.range(100).select(F.col("id").alias("a")))
     keyed = dense_key(store, "plan", rows, ["a"], "key")

@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 
 import pytest
+from compare import files_read
 
 from wardmart.plans.registry import QUERIES
+from wardmart.plans.star import ARRIVAL_MONTH, VISITS_BY_MONTH
 
 
 def plan(df) -> str:
@@ -47,6 +49,59 @@ def test_filters_reach_the_scan(star):
     assert "IsNotNull(durasi_kunjungan_jam)" in fact
 
 
+@pytest.mark.parametrize("name", ["bq1_status", "bq1_trend", "bq1_bench"])
+def test_months_outside_the_window_are_not_read(star, name):
+    """Visits lie in folders by month of arrival; unknown arrivals have one of their own."""
+    text = plan(QUERIES[name](star))
+    fact = next(line for line in text.splitlines() if "bulan_masuk" in line and "FileScan" in line)
+    assert re.search(r"PartitionFilters: \[isnotnull\(bulan_masuk#\d+\), \(bulan_masuk#\d+ >= \d{6}\)\]", fact)
+    assert "PushedFilters: [IsNotNull(tanggal_masuk_key)" in fact
+    stored = star.table(VISITS_BY_MONTH)
+    wanted = int(re.search(r"bulan_masuk#\d+ >= (\d{6})", fact)[1])
+    assert 0 < files_read(stored.where(f"{ARRIVAL_MONTH} >= {wanted}")) < files_read(stored)
+
+
+def test_folders_hold_the_month_of_their_rows(star):
+    stored = star.table(VISITS_BY_MONTH)
+    days = star.table("dim_tanggal").selectExpr("tanggal_key as tanggal_masuk_key", "tahun * 100 + bulan as month")
+    wrong = stored.join(days, "tanggal_masuk_key").where(f"{ARRIVAL_MONTH} <> coalesce(month, -1)")
+    assert wrong.isEmpty()
+    unknown = stored.where("tanggal_masuk_key = -1").select(ARRIVAL_MONTH).distinct().collect()
+    assert {row[0] for row in unknown} <= {-1}
+
+
+def test_details_meet_visit_keys_without_moving_them(spark, star):
+    """Visit keys are bucketed by number: only the details are shuffled to them."""
+    star.build()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = plan(star.diagnoses()).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    scan = next(i for i, line in enumerate(lines) if "kunci_kunjungan_" in line and "Bucketed: true" in line)
+    depth = len(re.match(r"[\s:+-]*", lines[scan])[0])
+    above = []
+    for line in reversed(lines[:scan]):
+        at = len(re.match(r"[\s:+-]*", line)[0])
+        if at < depth:
+            above.append(line)
+            depth = at
+        if "Join" in line and at <= depth:
+            break
+    assert "SortMergeJoin [refr_no" in above[-1]
+    assert not [line for line in above if "Exchange" in line]
+
+
+def test_key_checks_multiply_no_rows(star):
+    """Foreign keys are compared as bitmaps: no row becomes several, no key is shuffled by itself."""
+    text = plan(QUERIES["dq_referential"](star))
+    generated = [line for line in text.splitlines() if "Generate" in line]
+    assert all("inline([[fct_" in line for line in generated)  # the list of what is checked, nothing of a fact
+    assert "partial_bit_or" in text
+    assert "countdistinct" not in plan(QUERIES["dq_uniqueness"](star)).lower()
+
+
 def test_previews_bound_the_key(star):
     text = plan(QUERIES["preview_fct_diagnosis"](star))
     assert "LessThanOrEqual(diagnosis_key,10)" in text

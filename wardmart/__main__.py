@@ -17,6 +17,7 @@ from wardmart.plans.refresh import refresh
 def main(archive: str, root: str) -> None:
     spark = SparkSession.builder.appName("wardmart").getOrCreate()
     star, tests = refresh(spark, archive, root)
+    print("lines dropped:", star.rejected)
     tests.where("status = 'fail'").show(100, truncate=False)
     quality.summary(star.build()).show(truncate=False)
     quality.require_integrity(star.build())

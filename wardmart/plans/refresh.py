@@ -16,10 +16,13 @@ def refresh(spark: SparkSession, archive: str, root: str) -> tuple[Star, DataFra
     """Build everything from the CSV archive into ``root``.
 
     Returns the warehouse and the result of the 75 column tests. Missing files and
-    empty raw tables stop the run; failed column tests are reported, not raised.
+    empty raw tables stop the run; failed column tests are reported, not raised. How
+    many lines of each table's files did not fit is in ``star.rejected``.
     """
     store = TableStore(spark, root)
-    star = Star(ingest(spark, archive, store), store)
+    rejected: dict[str, int] = {}
+    star = Star(ingest(spark, archive, store, rejected=rejected), store)
+    star.rejected = rejected
     marts = star.build()
     tests = [
         quality.column_unique(marts),

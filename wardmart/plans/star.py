@@ -74,6 +74,8 @@ class Star:
         self.load_ts = load_ts or datetime.now(timezone.utc)
         self.rows_per_task = rows_per_task
         self.as_of = F.lit(as_of).cast("date") if as_of else F.current_date()
+        self.rejected: dict[str, int] = {}
+        """Lines dropped while loading, by raw table; empty for tables that were not loaded from files."""
         self._tables: dict[str, DataFrame] = {}
         self._locks: defaultdict[str, RLock] = defaultdict(RLock)
 

@@ -6,13 +6,15 @@ from collections.abc import Collection
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardmart.sources.schemas import RAW_FILES, raw_schema
 from wardmart.sources.store import TableStore
 
+_BAD_LINE = "_bad_line"
+
 
 def source_files(spark: SparkSession, archive: str) -> DataFrame:
     """Path and size of every expected file; raises FileNotFoundError naming all missing ones.
@@ -60,19 +62,51 @@ def read_csv(
     )
 
 
+def read_csv_counted(
+    spark: SparkSession, paths: list[str], schema: T.StructType, multi_line: bool = False
+) -> tuple[DataFrame, Observation]:
+    """The same rows as ``read_csv``, and how many were dropped.
+
+    The observation has ``read`` and ``rejected`` once the rows have been written; they
+    are counted on the way, without another scan.
+    """
+    rows = (
+        spark.read.schema(T.StructType([*schema.fields, T.StructField(_BAD_LINE, T.StringType())]))
+        .option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _BAD_LINE)
+        .option("escape", '"')
+        .option("enforceSchema", False)
+        .option("multiLine", multi_line)
+        .csv(paths)
+    )
+    counts = Observation()
+    bad = F.col(_BAD_LINE).isNotNull()
+    observed = rows.observe(counts, F.count(F.lit(1)).alias("read"), F.count_if(bad).alias("rejected"))
+    return observed.where(~bad).drop(_BAD_LINE), counts
+
+
 def ingest(
-    spark: SparkSession, archive: str, store: TableStore, multi_line: Collection[str] = ()
+    spark: SparkSession,
+    archive: str,
+    store: TableStore,
+    multi_line: Collection[str] = (),
+    rejected: dict[str, int] | None = None,
 ) -> dict[str, DataFrame]:
     """Load every raw table with full refresh and return them by name.
 
     ``multi_line`` names the tables whose files have line breaks inside quotes.
+    ``rejected`` is filled with the number of lines dropped from each table's files.
     """
     source_files(spark, archive).collect()
-    raw = {}
+    raw, counts = {}, {}
     for name, files in RAW_FILES.items():
         paths = [f"{archive.rstrip('/')}/{f}" for f in files]
-        raw[name] = store.write(name, read_csv(spark, paths, raw_schema(name), name in multi_line))
+        rows, counts[name] = read_csv_counted(spark, paths, raw_schema(name), name in multi_line)
+        raw[name] = store.write(name, rows)
     require_rows(raw)
+    if rejected is not None:
+        rejected |= {name: seen.get["rejected"] for name, seen in counts.items()}
     return raw
 
 
