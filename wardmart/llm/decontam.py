@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,9 @@ SHARD_WORDS = 500_000
 
 PAIRS_AT_ONCE = 2_000_000
 
+# White space beyond ASCII's, as str.split() has it; documents are cut there as items are.
+ODD_SPACE = r"[\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
 HIT = "doc_id long, item_id long, score double, containment double, question_overlap double, answer_overlap double"
 
 
@@ -185,7 +189,7 @@ class Index:
 
     def search(self, texts: pa.Array) -> Iterator[tuple[int, Item, float, float, float, float]]:
         """(row, item, score, containment, question and answer overlap) of verified items."""
-        words = Words(texts)
+        words = Words(pc.replace_substring_regex(texts, ODD_SPACE, " "))
         terms = [normal(w) for w in words.distinct.to_pylist()]
         number = np.fromiter((self.vocabulary.get(t, -1) if t else -2 for t in terms), np.int64, len(terms))
         code = number[words.codes]
@@ -280,7 +284,7 @@ def hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     One row for each document row and different test item (id and text) that it holds:
     SHINGLE-word shingles of the item are in the document by CONTAINED at least, and so
     are the words of both question and answer (the last sentence) by PART. Case and
-    punctuation around words do not count. An item of fewer than SHINGLE words is held
+    punctuation around words do not count, nor does which white space is between them. An item of fewer than SHINGLE words is held
     only by a document with a line, or a whole text, of just these words in their order.
     Clean documents give no row, nor do null or empty texts or items. Rows with a null
     or repeated id are searched like others; other columns are not read. No shuffle of

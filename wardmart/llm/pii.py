@@ -262,23 +262,25 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds:
     """The same rows with every span of the text replaced by its kind, like ``[EMAIL]``.
 
     Spans that overlap become one, named after the first. Null texts stay null. The
-    other columns stay as they are. Texts meet the discovered spans only, which Spark
-    broadcasts if their written table is small.
+    other columns stay as they are: all travel inside one struct, so no name of theirs
+    can clash. Texts meet the discovered spans only, which Spark broadcasts if their
+    written table is small.
     """
     more = stored(found_spans(stored(marks(docs, doc_id, text), "marks"), rounds), "more")
-    more = more.select(F.col("key").alias("_key"), F.col("more").alias("_more"))
-    rows = docs.withColumn("_key", row_key(F.col(doc_id), F.coalesce(F.col(text), F.lit(""))))
-    rows = rows.join(more, "_key", "left")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    key = row_key(docs[doc_id], F.coalesce(docs[text], F.lit(""))).alias("key")
+    rows = docs.select(whole, key).join(more.select("key", "more"), "key", "left")
+    said = F.col("row")[text]
     plain = "array<struct<kind:string,start:bigint,end:bigint>>"
-    base = F.transform(base_spans(F.coalesce(F.col(text), F.lit(""))), lambda s: s.dropFields("value"))
+    base = F.transform(base_spans(F.coalesce(said, F.lit(""))), lambda s: s.dropFields("value"))
     every = F.array_sort(
         F.transform(
-            F.concat(base, F.coalesce("_more", F.array().cast(plain))),
+            F.concat(base, F.coalesce("more", F.array().cast(plain))),
             lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")),
         )
     )
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-    piece = lambda a, b: F.substring(F.col(text), (a + 1).cast("int"), (b - a).cast("int"))
+    piece = lambda a, b: F.substring(said, (a + 1).cast("int"), (b - a).cast("int"))
 
     def step(acc: Column, s: Column) -> Column:
         apart = s["start"] >= acc["at"]
@@ -286,9 +288,9 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds:
         out = F.when(apart, F.concat(acc["out"], F.array(piece(acc["at"], s["start"]), name))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
 
-    rest = F.length(F.col(text)).cast("bigint")
-    rows = rows.withColumn("_spans", every)
-    new = F.aggregate("_spans", start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), piece(acc["at"], rest)))
-    changed = F.when(F.size("_spans") > 0, new).otherwise(F.col(text))
-    columns = [changed.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    rest = F.length(said).cast("bigint")
+    rows = rows.withColumn("spans", every)
+    new = F.aggregate("spans", start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), piece(acc["at"], rest)))
+    changed = F.when(F.size("spans") > 0, new).otherwise(said)
+    columns = [(changed if c == text else F.col("row")[c]).alias(c) for c in docs.columns]
     return rows.select(*columns)

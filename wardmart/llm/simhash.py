@@ -215,26 +215,28 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component, with all its columns: the one with the smallest id.
 
-    Of rows that share this id one stays, the smallest text first. If no row of a
-    component has an id, one of them stays all the same. Texts are shuffled once.
+    Of rows that share this id one stays, the first by hash of the text and then by the
+    text. If no row of a component has an id, one of them stays all the same. All columns
+    travel inside one struct, so no name of theirs can clash. Texts are shuffled once.
     """
     prints = stored(fingerprints(docs, doc_id, text), "prints")
-    kept = roots(prints).select(F.col("root").alias("_key")).distinct()
-    named = docs.where(docs[doc_id].isNotNull()).withColumn("_key", F.col(doc_id).cast("long"))
-    unnamed = _with_own_fingerprint(docs.where(docs[doc_id].isNull()), text)
-    rows = named.unionByName(unnamed.withColumn("_key", _node_id(F.lit(None).cast("long"), F.col("_fp"))).drop("_fp"))
-    first = Window.partitionBy("_key").orderBy(F.xxhash64(F.col(text)), F.col(text))
-    best = rows.join(kept, "_key", "left_semi").withColumn("_nth", F.row_number().over(first))
-    return best.where("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = roots(prints).select(F.col("root").alias("node")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), docs[doc_id].cast("long").alias("node"))
+    unnamed = _with_fingerprint(rows.where("node is null").select("row", F.col("row")[text].alias("text")))
+    unnamed = unnamed.select("row", _node_id(F.lit(None).cast("long"), F.col("fp")).alias("node"))
+    rows = rows.where("node is not null").unionByName(unnamed)
+    first = Window.partitionBy("node").orderBy(F.xxhash64(F.col("row")[text]), F.col("row")[text])
+    best = rows.join(kept, "node", "left_semi").withColumn("nth", F.row_number().over(first))
+    return best.where("nth = 1").select("row.*")
 
 
-def _with_own_fingerprint(docs: DataFrame, text: str) -> DataFrame:
-    names = docs.columns
+def _with_fingerprint(rows: DataFrame) -> DataFrame:
+    """(row, text, fp)"""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, text):
-            texts = pc.fill_null(batch.column(text).cast(pa.binary()), b"")
+        for batch in text_slices(batches):
+            texts = pc.fill_null(batch.column("text").cast(pa.binary()), b"")
             found = pa.array([fingerprint(t.as_py()) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*names, "_fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], ["row", "text", "fp"])
 
-    return on_batches(docs, run, docs.withColumn("_fp", F.lit(0).cast("long")).schema)
+    return on_batches(rows, run, rows.withColumn("fp", F.lit(0).cast("long")).schema)
