@@ -60,15 +60,18 @@ class TableStore:
 
     def release(self, name: str) -> None:
         """Give back the space of a table that nothing reads any more."""
-        self._old.append(self._paths.pop(name))
         del self._schemas[name]
-        self.expire()
+        self._remove(self._paths.pop(name))
 
     def expire(self) -> None:
         """Remove the files of earlier versions, when no one reads them any more."""
-        while self._old:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self._old.pop())
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        old, self._old = self._old, []
+        for path in old:
+            self._remove(path)
+
+    def _remove(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def names(self) -> list[str]:
         """Catalog listing of the tables written through this store."""
