@@ -1,11 +1,13 @@
 """Quality rules whose cutoffs come with a guarantee.
 
 Base rules have fixed limits. Further rules compare a statistic of the text with a
-cutoff that is chosen on labelled documents, per stratum of length: a cutoff counts as
-safe if an exact binomial test shows that it rejects no more than ALPHA of the good
-documents. Cutoffs of a rule are tested from the most lenient on and testing stops at
-the first that fails (fixed sequence); rules and strata share the error level DELTA
-(Bonferroni), so with probability 1 - DELTA every cutoff in use keeps its limit.
+cutoff that is chosen on labelled documents, per stratum of length. One half of the
+labelled texts orders the cutoffs of all rules into one path, each step making one rule
+stricter. The other half tests the path: a step is safe if an exact binomial test shows
+that all rules of the stratum together reject no more than ALPHA of the good texts.
+Testing stops at the first step that fails (fixed sequence), and strata share the error
+level DELTA (Bonferroni). So with probability 1 - DELTA no stratum loses more than ALPHA
+of its good texts to the cutoffs in use.
 """
 
 from __future__ import annotations
@@ -82,16 +84,18 @@ def counts(texts: pa.Array) -> dict[str, np.ndarray]:
 
 
 def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, COUNTS) of every whole text. No shuffle."""
+    """(doc_id, text_hash, COUNTS) of every whole text. No shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             found = counts(texts_of(batch))
-            arrays = [batch.column("doc_id"), *[pa.array(found[c].astype(np.int64)) for c in COUNTS]]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *COUNTS])
+            arrays = [batch.column("doc_id"), batch.column("text_hash"), *[pa.array(found[c].astype(np.int64)) for c in COUNTS]]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_hash", *COUNTS])
 
-    rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
-    return on_batches(rows, run, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
+    rows = docs.select(
+        docs[doc_id].cast("long").alias("doc_id"), F.xxhash64(docs[text]).alias("text_hash"), docs[text].alias("text")
+    )
+    return on_batches(rows, run, "doc_id long, text_hash long, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def base_failed() -> Column:
@@ -117,57 +121,109 @@ def stratum() -> Column:
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
-    """P(X <= k) for X of n trials with chance p, exactly."""
-    logs = [
-        math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)
-        for i in range(k + 1)
-    ]
-    top = max(logs, default=-math.inf)
-    return min(1.0, math.exp(top) * sum(math.exp(x - top) for x in logs))
-
-
-def choose(
-    passed: dict[tuple[int, str], dict[int, list[int]]], alpha: float = ALPHA, delta: float = DELTA
-) -> dict[tuple[int, str], float]:
-    """The cutoff for each stratum and rule that has a safe and useful one.
-
-    ``passed[stratum, rule][i]`` is how many [bad, good] labelled documents fail exactly
-    the cutoffs from i on. Among the safe cutoffs the one that rejects most bad documents,
-    less PRICE times the good ones, is taken, if that is a gain.
+    """P(X <= k) for X of n trials with chance p, exactly; k is at most the mean."""
+    log = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)
+    total, term = 0.0, 1.0
+    for i in range(k, -1, -1):
+        total += term
+        if term < 1e-18 * total:  # the rest falls faster than geometrically
+            break
+        term *= i / (n - i + 1) * (1 - p) / p
+    return min(1.0, math.exp(log) * total)
+
+
+Cells = dict[int, list[int]]
+"""How many [bad, good] labelled texts fail from an index on."""
+
+
+def order_steps(passed: dict[str, Cells]) -> list[tuple[str, int]]:
+    """The path of one stratum: (rule, index of its cutoff), each stricter for its rule than before.
+
+    ``passed[rule][i]`` counts the texts that fail exactly the cutoffs of the rule from
+    i on. Of the steps whose bad texts outweigh PRICE times their good ones, the one
+    with the fewest good texts per bad one comes next, so the safest are tested first.
     """
-    level = delta / ((len(STRATA) + 1) * len(GRID))
-    chosen = {}
-    for (layer, rule), cells in passed.items():
-        good = sum(c[1] for c in cells.values())
-        best, rejected = 0.0, [0, 0]
-        for i, cutoff in enumerate(GRID[rule]):
-            rejected = [a + b for a, b in zip(rejected, cells.get(i, [0, 0]), strict=True)]
-            # Above its mean the tail is about one half or more, so no test is needed.
-            if not good or rejected[1] > alpha * good or binomial_tail(rejected[1], good, alpha) > level:
-                break
-            gain = rejected[0] - PRICE * rejected[1]
-            if gain > best:
-                best, chosen[layer, rule] = gain, cutoff
-    return chosen
+    sums = {
+        rule: np.cumsum([[0, 0], *[cells.get(i, [0, 0]) for i in range(len(GRID[rule]))]], axis=0)
+        for rule, cells in sorted(passed.items())
+    }
+    reached = dict.fromkeys(sums, -1)
+    path = []
+    while True:
+        options = []
+        for rule, at in reached.items():
+            for i in range(at + 1, len(GRID[rule])):
+                bad, good = (sums[rule][i + 1] - sums[rule][at + 1]).tolist()
+                if bad > PRICE * good:
+                    options.append((good / bad, -bad, i, rule))
+        if not options:
+            return path
+        *_, i, rule = min(options)
+        reached[rule] = i
+        path.append((rule, i))
+
+
+def safe_steps(failing: Cells, steps: int, alpha: float = ALPHA, delta: float = DELTA) -> int:
+    """How many steps of a path are safe.
+
+    ``failing[s]`` counts the texts that the first s steps pass and step s (from 0)
+    rejects; all others have an index of ``steps``.
+    """
+    good = sum(c[1] for c in failing.values())
+    level = delta / (len(STRATA) + 1)
+    rejected = 0
+    for step in range(steps):
+        rejected += failing.get(step, [0, 0])[1]
+        # Above its mean the tail is about one half or more, so no test is needed.
+        if not good or rejected > alpha * good or binomial_tail(rejected, good, alpha) > level:
+            return step
+    return steps
 
 
 def calibrate(stats: DataFrame, labels: DataFrame) -> dict[tuple[int, str], float]:
     """Cutoffs from all labelled documents that pass the base rules.
 
-    What comes to the driver are counts per stratum, rule and cutoff. A document with
-    several labels counts as good if one of them says so.
+    A text counts once, however many documents share it, and as good if one of their
+    labels says so; a hash of the text also says which half it belongs to. What comes
+    to the driver are counts per stratum, rule and cutoff, and then per stratum and step.
     """
     marks = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     rows = stats.where(~base_failed()).join(marks, "doc_id")
-    cells = []
-    for rule, value in rule_values().items():
-        first = sum((value <= c).cast("int") for c in GRID[rule])
-        cells.append(F.struct(F.lit(rule).alias("rule"), first.alias("first")))
-    rows = rows.select(stratum().alias("layer"), (F.col("quality") == 1).cast("int").alias("good"), F.explode(F.array(*cells)).alias("c"))
-    passed: dict[tuple[int, str], dict[int, list[int]]] = defaultdict(lambda: defaultdict(lambda: [0, 0]))
-    for row in rows.groupBy("layer", "c.rule", "c.first", "good").agg(F.count("*").alias("n")).collect():
-        passed[row.layer, row.rule][row.first][row.good] += row.n
-    return choose(passed)
+    rows = rows.groupBy("text_hash", *COUNTS).agg((F.max("quality") == 1).cast("int").alias("good"))
+    firsts = {rule: sum((value <= c).cast("int") for c in GRID[rule]) for rule, value in rule_values().items()}
+    rows = rows.select(
+        stratum().alias("layer"), "good", (F.col("text_hash") % 2 == 0).alias("orders"), *[f.alias(r) for r, f in firsts.items()]
+    )
+    rows = stored(rows, "labelled")
+
+    cells = F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(rule).alias("first")) for rule in GRID])
+    ordering = rows.where("orders").select("layer", "good", F.explode(cells).alias("c"))
+    passed: dict[int, dict[str, Cells]] = defaultdict(lambda: defaultdict(lambda: defaultdict(lambda: [0, 0])))
+    for row in ordering.groupBy("layer", "c.rule", "c.first", "good").agg(F.count("*").alias("n")).collect():
+        passed[row.layer][row.rule][row.first][row.good] += row.n
+    paths = {layer: order_steps(of) for layer, of in sorted(passed.items())}
+    if not any(paths.values()):
+        return {}
+
+    step = F.lit(None).cast("int")
+    for layer, path in paths.items():
+        step = F.when(F.col("layer") == layer, _first_step(path)).otherwise(step)
+    testing = rows.where(~F.col("orders")).select("layer", "good", step.alias("step")).where("step is not null")
+    failing: dict[int, Cells] = defaultdict(lambda: defaultdict(lambda: [0, 0]))
+    for row in testing.groupBy("layer", "step", "good").agg(F.count("*").alias("n")).collect():
+        failing[row.layer][row.step][row.good] += row.n
+    # The last safe step of a rule is its strictest.
+    return {
+        (layer, rule): GRID[rule][i]
+        for layer, path in paths.items()
+        for rule, i in path[: safe_steps(failing[layer], len(path))]
+    }
+
+
+def _first_step(path: list[tuple[str, int]]) -> Column:
+    """The first step of the path that rejects a text, or its length if none does."""
+    steps = [F.when(F.col(rule) <= i, F.lit(at)) for at, (rule, i) in enumerate(path)]
+    return F.coalesce(*steps, F.lit(len(path)))
 
 
 def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -175,8 +231,9 @@ def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     A null or empty text has no words and fails the base rules. Repeated rows and rows
     without an id give one row each; other columns are not read; an empty table gives
-    no rows; without labels no cutoff is safe and the base rules decide alone. Texts
-    are read once; their counts are written and joined with the labels.
+    no rows; without labels no cutoff is safe and the base rules decide alone, also in
+    a stratum with too few good texts to prove anything (less than 217 in the testing
+    half). Texts are read once; their counts are written and joined with the labels.
     """
     stats = stored(measured(docs, doc_id, text), "counts")
     values = rule_values()
