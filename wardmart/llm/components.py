@@ -15,8 +15,9 @@ def components(links: DataFrame) -> DataFrame:
     around it, then the smaller neighbours too; trees turn into stars in a number of
     rounds that grows with the logarithm of the longest chain. A round is written to
     the shared folder, so a lost executor costs one round at most. Nodes with many
-    links are met by a minimum (combined before the shuffle) and by a join whose large
-    side adaptive execution may split. Rows with a null end or equal ends are no links.
+    links are met by a minimum (combined before the shuffle) and by a join with these
+    minima as a stored table: adaptive execution splits the links of such a node, which
+    it would not do beside an aggregate. Rows with a null end or equal ends are no links.
     """
     edges = (
         links.where("a is not null and b is not null and a <> b")
@@ -38,8 +39,9 @@ def components(links: DataFrame) -> DataFrame:
 
 def _star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least"))
-    large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
-    least = large.groupBy("a").agg(F.min("b").alias("least"))
+    least = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least")), "least")
+    large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    large = stored(large.distinct(), "large")
+    least = stored(large.groupBy("a").agg(F.min("b").alias("least")), "least")
     small = large.join(least, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return small.union(least.select("a", F.col("least").alias("b"))).distinct()

@@ -160,7 +160,8 @@ def links(nodes: DataFrame, radius: int = RADIUS, crowded: int = CROWDED) -> Dat
         rows = rows.withColumn("bucket", F.col("fp").bitwiseAND(F.col("mask")))
         if depth:
             rows = rows.distinct()
-        sizes = rows.groupBy("mask", "bucket").agg(F.count("*").alias("size")).where("size > 1")
+        # A stored table, so that adaptive execution may split the rows of a crowded bucket.
+        sizes = stored(rows.groupBy("mask", "bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
         rows = stored(rows.join(sizes, ["mask", "bucket"]), "buckets")
         small = (rows if last else rows.where(F.col("size") <= crowded)).groupBy("mask", "bucket")
         small = small.agg(F.collect_list(F.struct("fp", "id")).alias("members")).select("members")
