@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 import re
 import zlib
 
 import corpus_pipeline
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 import xxhash
@@ -17,7 +19,7 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from wardmart.llm import chat, components, decontam, packing, pii, quality, queries, rules, simhash, toxicity
-from wardmart.llm.base import held_out, table
+from wardmart.llm.base import Words, held_out, labelled_sample, table
 
 MEDIUM = "/root/testdata/sf0.01"
 
@@ -154,15 +156,41 @@ def test_rules_count_like_plain_python(spark, odd_docs, no_docs):
     assert rules.judge(no_docs, labels).count() == rules.judge(no_docs, labels.limit(0)).count() == 0
 
 
-def test_cutoffs_keep_their_limit():
+def test_a_path_is_safe_up_to_its_first_failing_step():
     assert rules.binomial_tail(2, 10, 0.3) == pytest.approx(0.3827827864)
-    rule = "symbol_share"
-    # 4000 good documents: 100 fail from cutoff 5 on, which is more than ALPHA.
-    cells = {2: [50, 0], 4: [30, 5], 5: [900, 100]}
-    chosen = rules.choose({(0, rule): cells})
-    assert chosen == {(0, rule): rules.GRID[rule][2]} or not chosen
-    chosen = rules.choose({(0, rule): {**cells, 24: [0, 4000]}})
-    assert chosen == {(0, rule): rules.GRID[rule][4]}
+    exact = sum(math.comb(900, i) * 0.02**i * 0.98 ** (900 - i) for i in range(9))
+    assert rules.binomial_tail(8, 900, 0.02) == pytest.approx(exact)
+    cells = {"symbol_share": {2: [50, 0], 4: [30, 5], 5: [90, 40]}, "mean_word": {1: [60, 0], 24: [0, 500]}}
+    assert rules.order_steps(cells) == [("mean_word", 1), ("symbol_share", 2), ("symbol_share", 4)]
+    assert rules.safe_steps({0: [50, 0], 1: [30, 5], 2: [900, 100], 3: [0, 4000]}, 3) == 2
+    assert rules.safe_steps({0: [9, 0], 1: [0, 100]}, 1) == 0  # so few good texts prove nothing
+    assert rules.safe_steps({}, 3) == 0
+
+
+def test_all_rules_together_keep_the_limit(spark):
+    """Seven rules whose false rejections fall on different texts, each below ALPHA, and copies of one good text."""
+    rng = np.random.default_rng(3)
+    names, n = list(rules.GRID), 24_000
+    failing = {name: np.zeros(n, bool) for name in names}
+    good = np.arange(n) >= n // 3
+    kind = rng.integers(0, 1000, n)
+    for at, name in enumerate(names):
+        failing[name] = np.where(good, kind // 8 == at, kind // 143 == at)
+    columns = {"doc_id": np.arange(n), "text_hash": rng.integers(-(2**62), 2**62, n), "n_words": 100}
+    bad = {"symbol_share": "n_symbols", "bar_share": "n_bars", "exclamation_share": "n_marks", "upper_share": "n_upper"}
+    columns |= {column: np.where(failing[rule], 60, 0) for rule, column in bad.items()}
+    columns |= {"n_chars": 60, "n_lines": 100, "n_dup_lines": np.where(failing["dup_line_share"], 97, 0)}
+    columns |= {"n_repeat_words": np.where(failing["repeat_share"], 49, 0), "word_chars": np.where(failing["mean_word"], 4000, 500)}
+    frame = pd.DataFrame(columns).astype("int64")
+    copies = pd.concat([frame, pd.DataFrame([frame.iloc[-1]] * 20_000).assign(doc_id=range(n, n + 20_000))])
+    labels = pd.DataFrame({"doc_id": copies["doc_id"], "quality": np.append(good, np.ones(20_000)).astype(int)})
+    stats = spark.createDataFrame(copies)
+    chosen = rules.calibrate(stats, spark.createDataFrame(labels))
+    assert chosen and all(layer == 0 for layer, _ in chosen)
+    lost = np.zeros(n, bool)
+    for _, rule in chosen:
+        lost |= failing[rule]
+    assert 0 < lost[good].mean() <= rules.ALPHA and len(chosen) < len(names)
 
 
 @pytest.mark.parametrize("kind", ["quality", "toxic"])
@@ -179,6 +207,10 @@ def test_classifiers_on_held_out_rows(spark, kind, odd_docs, no_docs):
     assert all(zlib.crc32(str(r.doc_id).encode()) % 3 == 1 for r in rows)
     right = sum(r.predicted == r[kind] for r in rows) / len(rows)
     assert right >= 0.95
+    if kind == "toxic":
+        caught = [r.predicted for r in rows if r.toxic]
+        assert sum(caught) >= 0.9 * len(caught)
+        assert sum(r.predicted for r in rows if not r.toxic) <= 0.01 * (len(rows) - len(caught))
     odd = score(odd_docs).collect()
     assert len(odd) == odd_docs.count() and all(0 <= r.score <= 1 for r in odd)
     assert all(r.held_out == held_out(r.doc_id) for r in odd)
@@ -211,6 +243,55 @@ def test_toxic_spans_are_the_words():
     assert spans == ["10:15", "", ""] and score[0] >= toxicity.REJECT > max(score[1:])
 
 
+def test_context_decides():
+    """The same word is toxic beside one neighbour and clean beside another."""
+    rng = random.Random(5)
+    fill = lambda n: " ".join(f"w{rng.randrange(300)}" for _ in range(n))
+    toxic = [f"{fill(9)} utter trash {fill(9)} utter trash {fill(5)}" for _ in range(150)]
+    clean = [f"{fill(9)} collect trash {fill(9)} utter nonsense {fill(5)} utter nonsense" for _ in range(600)]
+    label = np.arange(750) < 150
+    words = Words(pa.array(toxic + clean))
+    tagged = toxicity.toxic_words(words, label)
+    names = np.array(words.distinct.to_pylist())[words.codes]
+    assert set(names[tagged]) == {"trash"} and not tagged[~label[words.doc]].any()
+    model = toxicity.fit(toxic + clean, label)
+    probes = [f"{fill(9)} {pair} {fill(9)} {pair} {fill(5)}" for pair in ("utter trash", "collect trash", "utter nonsense")]
+    score, spans = toxicity.score_slice(model, pa.array(probes))
+    assert score[0] >= toxicity.REJECT > max(score[1:]) and spans[1:] == ["", ""]
+    assert [probes[0][slice(*map(int, at.split(":")))] for at in spans[0].split(",")] == ["trash", "trash"]
+
+
+def test_emission_and_gradient_equal_a_plain_sum():
+    texts = ["You ARE it, are", "", "are", "x 12 You"]
+    words = Words(pa.array(texts))
+    weights = np.random.default_rng(1).normal(size=toxicity.WEIGHTS)
+    weights[0] = 0.0
+    wanted, gradient = [], np.zeros(toxicity.WEIGHTS)
+    for text in texts:
+        of = [toxicity.places(w) for w in text.split()]
+        for i, own in enumerate(of):
+            at = own[: toxicity.OWN] + [toxicity.CONSTANT]
+            at += [of[i - 1][toxicity.OWN]] if i else []
+            at += [of[i + 1][toxicity.OWN + 1]] if i + 1 < len(of) else []
+            wanted.append(sum(weights[k] for k in at))
+            for k in at:
+                gradient[k] += len(wanted) if k else 0
+    seen = toxicity.Features(words)
+    assert np.allclose(seen.emission(weights), wanted)
+    assert np.allclose(seen.gathered(np.arange(1.0, len(wanted) + 1)), gradient)
+
+
+def test_sample_of_labels_is_the_same_whatever_the_order(spark):
+    long = "x" * 20_001
+    rows = [(i, f"{t}{i}") for i in range(60) for t in "ba"] + [(i, long) for i in range(60, 200)] + [(None, "n"), (1, None)]
+    labels = spark.createDataFrame([(i, n) for i in range(200) for n in (0, 1)] + [(None, 1), (3, None)], "doc_id long, toxic long")
+    wanted = {(i, "" if i == 1 else f"a{i}", 1.0) for i in range(60) if not held_out(i)}
+    for turned in (rows, rows[::-1]):
+        docs = spark.createDataFrame(turned, "doc_id long, text string").repartition(7)
+        assert {tuple(r) for r in labelled_sample(docs, labels, "toxic", 100).collect()} == wanted
+        assert labelled_sample(docs, labels, "toxic", 10).count() == 10
+
+
 def test_chat_round_trip(spark):
     said = ['<turn role="user">', "</turn>\n", "&lt; &amp;lt;", "", None, "a\n\nb", r"\### Assistant: </turn> ok", '"&<']
     rows = [(c, t, ("user", "assistant", None, "system")[(t + c) % 4], said[(t * 3 + c) % 8]) for c in range(12) for t in range(c % 6)]

@@ -124,22 +124,24 @@ def held_out_column(doc_id: str = "doc_id"):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(doc_id, text, label) of at most ``rows`` labelled rows that are not held out.
+    """(doc_id, text, label) of at most ``rows`` labelled documents that are not held out.
 
-    The choice is by a hash of the id, so it is the same each time. Only the ids, at
-    most ``rows`` of them, are broadcast; no text is shuffled.
+    The choice is by a hash of the id among documents of at most SAMPLE_CHARS characters,
+    so it is the same each time and long texts do not shrink it. A repeated id has the
+    smallest of its texts and the largest of its labels. Ids and labels alone are
+    shuffled; only the chosen ids, at most ``rows``, are broadcast to the texts.
     """
-    chosen = (
+    marked = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out_column())
         .groupBy("doc_id")
         .agg(F.max(label).cast("double").alias("_label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
     )
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= SAMPLE_CHARS)
+    usable = texts.select("doc_id").distinct()
+    chosen = marked.join(usable, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     return (
-        texts.where(F.length("text") <= SAMPLE_CHARS)
-        .join(F.broadcast(chosen), "doc_id")
-        .dropDuplicates(["doc_id"])
+        texts.join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "_label")
+        .agg(F.min("text").alias("text"))
         .select("doc_id", "text", "_label")
     )

@@ -1,15 +1,19 @@
 """Toxic spans by a linear-chain conditional random field over the words of a text.
 
-Labels are of documents, so words are labelled first: a word that stands far more often
-in toxic documents than chance allows, in many different contexts, is toxic where such
-a document has it. The field has two states and learns from the kind of a word and of
-its neighbours. Forward-backward gives each word's marginal; their maximum and sum make
+Labels are of documents, so words are labelled first: a word, a beginning of words or a
+pair of neighbours that stands far more often in toxic documents than chance allows, in
+many different contexts, marks its words as toxic where such a document has it. The
+field does not see this evidence. It has two states and learns these labels from the
+word itself, its beginnings and its shape, the words before and after it, and the state
+of the word before. So it may call the same word toxic beside one neighbour and clean
+beside another. Forward-backward gives each word's marginal; their maximum and sum make
 the document's score, and words of at least one half make the offending spans.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -30,47 +34,83 @@ CHANCE = 0.01
 """Chance that any word at all is called toxic without cause."""
 
 PRECISION = 0.7
-SUSPECT = 0.3
+"""Share of toxic documents among the contexts of what marks a word as toxic, at least."""
+
 PREFIXES = (4, 5, 6, 7)
 """Lengths of word beginnings that are looked at like words."""
 
 SAMPLE = 2_000
 """Labelled rows that the model is fitted on, at most; their texts come to the driver."""
 
-TRAIN_TOKENS = 100_000
+TRAIN_TOKENS = 200_000
+"""Words of the sample that the field's weights are fitted on, at most: toxic and clean texts in turn."""
+
 STEPS = 100
+PENALTY = 0.1
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
-LEVELS = 3  # neutral, suspect, toxic
-FEATURES = 3 * LEVELS + 1
+WEIGHTS = 1 << 18
+"""Places that features are hashed to. The first stands for no feature and has weight zero."""
+
+CONSTANT = 1
+OWN = len(PREFIXES) + 2
+"""Features of a word on its own: itself, its beginnings, its shape."""
 
 
 @dataclass
 class Model:
-    level: dict[str, int] = field(default_factory=dict)
-    emission: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(WEIGHTS))
     transition: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
-    score: np.ndarray = field(default_factory=lambda: np.zeros(3))
+    score: np.ndarray = field(default_factory=lambda: np.zeros(4))
 
-    def word_levels(self, words: Words) -> np.ndarray:
-        widths = [w for w in PREFIXES if any(len(k) == w + 1 and k[-1] == "*" for k in self.level)]
-        known = self.level.get
 
-        def level(word: str) -> int:
-            word = normal(word)
-            return max(known(word, 0), max((known(word[:w] + "*", 0) for w in widths if len(word) > w), default=0))
+def _place(feature: str) -> int:
+    return 2 + zlib.crc32(feature.encode("utf-8", "surrogatepass")) % (WEIGHTS - 2)
 
-        distinct = words.distinct.to_pylist()
-        return np.fromiter(map(level, distinct), np.int64, len(distinct))[words.codes]
+
+def _shape(word: str) -> str:
+    case = "a" if word.islower() else "A" if word.isupper() else "Aa" if word.istitle() else "0" if word.isnumeric() else "?"
+    return f"{case}{min(len(word), 12)}"
 
 
-def features(level: np.ndarray, doc: np.ndarray) -> list[np.ndarray]:
-    """Columns of ones where a feature of a word fires: levels of it and its neighbours, and a constant."""
-    same = doc[1:] == doc[:-1]
-    before = np.append(0, np.where(same, level[:-1], 0)) if len(level) else level
-    after = np.append(np.where(same, level[1:], 0), 0) if len(level) else level
-    columns = [x == value for x in (level, before, after) for value in range(LEVELS)]
-    return [*columns, np.ones(len(level), bool)]
+def places(word: str) -> list[int]:
+    """Where the weights of a word's features stand: OWN of its own, as neighbour before, as neighbour after."""
+    name = normal(word)
+    beginnings = [_place(f"{w}:{name[:w]}") if len(name) > w else 0 for w in PREFIXES]
+    own = [_place("w:" + name), *beginnings, _place("s:" + _shape(word))]
+    return [*own, _place("<:" + name), _place(">:" + name)]
+
+
+class Features:
+    """The features of the words of a slice, by distinct word, and how they add up along the texts."""
+
+    def __init__(self, words: Words):
+        distinct = words.distinct.to_pylist()
+        flat = [place for word in distinct for place in places(word)]
+        self.places = np.array(flat, np.int64).reshape(len(distinct), OWN + 2)
+        self.codes = words.codes
+        self.follows = np.flatnonzero(words.doc[1:] == words.doc[:-1]) + 1
+        """Words that have a word before them in their text."""
+
+    def emission(self, weights: np.ndarray) -> np.ndarray:
+        """Each word's score for the toxic state."""
+        of = weights[self.places]
+        own, before, after = of[:, :OWN].sum(1), of[:, OWN], of[:, OWN + 1]
+        total = own[self.codes] + weights[CONSTANT]
+        total[self.follows] += before[self.codes[self.follows - 1]]
+        total[self.follows - 1] += after[self.codes[self.follows]]
+        return total
+
+    def gathered(self, values: np.ndarray) -> np.ndarray:
+        """The sum of each word's value at every place that the word's features stand at."""
+        n = len(self.places)
+        per_word = np.empty((n, OWN + 2))
+        per_word[:, :OWN] = np.bincount(self.codes, values, n)[:, None]
+        per_word[:, OWN] = np.bincount(self.codes[self.follows - 1], values[self.follows], n)
+        per_word[:, OWN + 1] = np.bincount(self.codes[self.follows], values[self.follows - 1], n)
+        result = np.bincount(self.places.ravel(), per_word.ravel(), WEIGHTS)
+        result[0], result[CONSTANT] = 0.0, values.sum()
+        return result
 
 
 class Chains:
@@ -152,97 +192,111 @@ class Chains:
         return result.T.ravel()[self.place], moves
 
 
-def toxic_words(words: Words, toxic: np.ndarray) -> dict[str, int]:
-    """Level of each word, or beginning of words (``begin*``), that is not neutral.
+def _marked(key: np.ndarray, context: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each occurrence whether its key (-1: none) is proven toxic, and the key's share of toxic contexts.
 
-    A word counts once for each pair of neighbours that it has, so copies of a text do
-    not add up. The bound on chance is Chernoff's, corrected for the number of words.
+    A key counts once for each context that it has, so copies of a text do not add up.
+    The bound on chance is Chernoff's, corrected for the number of keys.
     """
+    real = key >= 0
+    kinds = key.max(initial=-1) + 1
+    width = context.max(initial=0) + 1
+    seen = np.unique((key[real] * width + context[real]) * 2 + label[real])
+    of, toxic = seen // 2 // width, seen % 2
+    t, c = (np.bincount(of[toxic == k], minlength=kinds).astype(float) for k in (1, 0))
+    base = t.sum() / max(1.0, t.sum() + c.sum())
+    with np.errstate(divide="ignore", invalid="ignore"):
+        share = np.where(t + c > 0, t / (t + c), 0)
+        rest = np.where(share < 1, (1 - share) * np.log((1 - share) / (1 - base)), 0)
+        proof = np.nan_to_num((t + c) * (share * np.log(share / base) + rest))
+    proven = (proof >= np.log(max(1, kinds) * (len(PREFIXES) + 2) / CHANCE)) & (share >= PRECISION)
+    shares = np.append(share, 0.0)[key]
+    return np.append(proven, False)[key], shares
+
+
+def toxic_words(words: Words, toxic: np.ndarray) -> np.ndarray:
+    """Which words of toxic texts are labelled toxic, by evidence from all the labelled texts."""
     names = [normal(w) for w in words.distinct.to_pylist()]
-    number: dict[str, int] = {}
-    code = np.fromiter((number.setdefault(n, len(number)) for n in names), np.int64, len(names))[words.codes]
+    number: dict[str, int] = {"": 0}
+    of_word = np.array([number.setdefault(n, len(number)) for n in names], np.int64)
+    code, label = of_word[words.codes], toxic[words.doc].astype(np.int64)
     size = len(number) + 1
-    if not len(code):
-        return {}
-    before = np.append(size - 1, np.where(words.doc[1:] == words.doc[:-1], code[:-1], size - 1))
-    after = np.append(np.where(words.doc[1:] == words.doc[:-1], code[1:], size - 1), size - 1)
+    follows = words.doc[1:] == words.doc[:-1]
+
+    def shifted(by: int) -> np.ndarray:
+        """The code of the word ``by`` places away in the same text."""
+        result = np.full(len(code), size - 1)
+        if by < 0:
+            same = words.doc[-by:] == words.doc[:by]
+            result[-by:][same] = code[:by][same]
+        else:
+            same = words.doc[by:] == words.doc[:-by]
+            result[:-by][same] = code[by:][same]
+        return result
+
+    if len(code) < 2:
+        return np.zeros(len(code), bool)
+    before, after = shifted(-1), shifted(1)
     context = np.unique(before * size + after, return_inverse=True)[1]
-    label = toxic[words.doc]
-    del before, after
-    found: dict[str, int] = {}
-    for width in (None, *PREFIXES):
-        keys: dict[str, int] = {}
-        of = np.array([keys.setdefault(_key(n, width), len(keys)) for n in number] + [0])
-        seen = np.unique((of[code] * (context.max() + 1) + context) * 2 + label)
-        key, label_seen = seen // 2 // (context.max() + 1), seen % 2
-        t, c = (np.bincount(key[label_seen == k], minlength=len(keys)).astype(float) for k in (1, 0))
-        base = t.sum() / (t.sum() + c.sum())
-        with np.errstate(divide="ignore", invalid="ignore"):
-            share = np.where(t + c > 0, t / (t + c), 0)
-            rest = np.where(share < 1, (1 - share) * np.log((1 - share) / (1 - base)), 0)
-            proof = np.nan_to_num((t + c) * (share * np.log(share / base) + rest)) >= np.log(size * 5 / CHANCE)
-        level = np.where(proof & (share >= PRECISION), 2, np.where(proof & (share >= SUSPECT), 1, 0))
-        found |= {k: int(level[i]) for k, i in keys.items() if k and level[i]}
-    return found
-
-
-def _key(name: str, width: int | None) -> str:
-    if width is None:
-        return name
-    return name[:width] + "*" if len(name) > width else ""
+    tagged, shares = _marked(np.where(code > 0, code, -1), context, label)
+    for width in PREFIXES:
+        beginnings: dict[str, int] = {}
+        of = [beginnings.setdefault(n[:width], len(beginnings)) if len(n) > width else -1 for n in number]
+        tagged |= _marked(np.array(of)[code], context, label)[0]
+    # Of a proven pair that no word of it explains, the word that is the more toxic one by itself.
+    around = np.unique(shifted(-2) * size + after, return_inverse=True)[1]
+    pair = np.unique(before * size + code, return_inverse=True)[1]
+    pair[np.append(True, ~follows)] = -1
+    second = np.flatnonzero(_marked(pair, around, label)[0] & ~tagged & ~np.append(False, tagged[:-1]))
+    tagged[np.where(shares[second - 1] > shares[second], second - 1, second)] = True
+    return tagged & toxic[words.doc]
 
 
 def fit(texts: list[str], toxic: np.ndarray) -> Model:
     """The field and the score from labelled texts, in memory: a bounded sample."""
     model = Model()
     if not len(texts) or toxic.all() or not toxic.any():
-        model.emission[-1] = -20.0
+        model.weights[CONSTANT] = -20.0
         share = (toxic.sum() + 0.5) / (len(texts) + 1)
         model.score[0] = np.log(share / (1 - share)) if len(texts) else -5.0
         return model
     words = Words(pa.array(texts, pa.string()))
-    model.level = toxic_words(words, toxic)
-    level = model.word_levels(words)
+    truth = toxic_words(words, toxic)
     # Toxic and clean texts in turn, as many as the bound on words takes.
     order = np.argsort(np.concatenate([np.arange((toxic == k).sum()) for k in (1, 0)]), kind="stable")
     order = np.concatenate([np.flatnonzero(toxic), np.flatnonzero(~toxic)])[order]
     chosen = np.zeros(len(texts), bool)
     chosen[order[np.cumsum(words.counts[order]) <= TRAIN_TOKENS]] = True
-    of = chosen[words.doc]
-    columns = features(level[of], words.doc[of])
-    truth = (level[of] == 2) & toxic[words.doc[of]]
-    chains = Chains(words.counts[chosen])
-    starts = np.append(True, words.doc[of][1:] != words.doc[of][:-1])
-    from_toxic = np.where(starts, False, np.append(False, truth[:-1]))
-    real_moves = np.array([np.sum((from_toxic == a) & (truth == b)) for a in (0, 1) for b in (0, 1)]).reshape(2, 2)
-    real = np.array([c[truth].sum() for c in columns], float)
-    weights = np.zeros(FEATURES + 4)
-    mean, square = np.zeros(FEATURES + 4), np.zeros(FEATURES + 4)
+    truth = truth[chosen[words.doc]]
+    some = Words(pa.array([t for t, c in zip(texts, chosen, strict=True) if c], pa.string()))
+    seen, chains = Features(some), Chains(some.counts)
+    starts = np.append(True, some.doc[1:] != some.doc[:-1])[: len(truth)]
+    from_toxic = np.where(starts, False, np.append(False, truth[:-1])[: len(truth)])
+    real_moves = np.array([np.sum((from_toxic == a) & (truth == b)) for a in (0, 1) for b in (0, 1)], float)
+    weights = np.zeros(WEIGHTS + 4)
+    mean, square = np.zeros(WEIGHTS + 4), np.zeros(WEIGHTS + 4)
     for n in range(1, STEPS + 1):  # Adam on the regularised log-likelihood
-        emission = sum(w * c for w, c in zip(weights[:FEATURES], columns, strict=True))
-        p, moves = chains.marginals(emission, weights[FEATURES:].reshape(2, 2))
-        slope = np.append(real - [p[c].sum() for c in columns], (real_moves - moves).ravel()) - weights
+        p, moves = chains.marginals(seen.emission(weights[:WEIGHTS]), weights[WEIGHTS:].reshape(2, 2))
+        slope = np.append(seen.gathered(truth - p), real_moves - moves.ravel()) - PENALTY * weights
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
-        weights = weights + 0.2 * (mean / (1 - 0.9**n)) / (np.sqrt(square / (1 - 0.99**n)) + 1e-8)
-    model.emission, model.transition = weights[:FEATURES], weights[FEATURES:].reshape(2, 2)
-    p = marginals(model, words)
-    inputs = document_inputs(p, words)
+        weights = weights + 0.1 * (mean / (1 - 0.9**n)) / (np.sqrt(square / (1 - 0.99**n)) + 1e-8)
+    model.weights, model.transition = weights[:WEIGHTS], weights[WEIGHTS:].reshape(2, 2)
+    inputs = document_inputs(marginals(model, words), words)
     model.score = _logistic(inputs, toxic.astype(float))
     return model
 
 
 def marginals(model: Model, words: Words) -> np.ndarray:
-    level = model.word_levels(words)
-    emission = sum(w * c for w, c in zip(model.emission, features(level, words.doc), strict=True))
-    return Chains(words.counts).marginals(np.asarray(emission, float), model.transition)[0]
+    return Chains(words.counts).marginals(Features(words).emission(model.weights), model.transition)[0]
 
 
 def document_inputs(p: np.ndarray, words: Words) -> np.ndarray:
-    """Constant, largest marginal and logarithm of the expected number of toxic words."""
+    """Constant, largest marginal, logarithm of the expected number of toxic words, and of their share."""
     largest = np.zeros(len(words.counts))
     np.maximum.at(largest, words.doc, p)
     total = np.bincount(words.doc, p, len(words.counts))
-    return np.stack([np.ones(len(largest)), largest, np.log1p(total)], 1)
+    share = np.log((total + 0.1) / (words.counts + 10.0))
+    return np.stack([np.ones(len(largest)), largest, np.log1p(total), share], 1)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -281,8 +335,8 @@ def toxicity(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
     ``spans`` are the words whose marginal is one half at least. A null or empty text
     has no words and gets the score of a text without toxic words. Repeated rows and
     rows without an id (held out) give one row each; other columns are not read; an
-    empty table gives no rows. No shuffle; the model (a list of words of a bounded
-    sample) goes out by broadcast.
+    empty table gives no rows. No shuffle; the model (WEIGHTS numbers, whatever the
+    data) goes out by broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
