@@ -53,6 +53,19 @@ where ({_ROOM} % 50 = 7) is not true and ({_ROOM} % 70 = 9) is not true""",
     + _union([f"select '{name}' as table_name from {name}" for name in [*RAW_SQL, "stg_ehp__diag"]])
     + ") group by table_name union all select 'TOTAL', "
     + " + ".join(f"(select count(*) from {name})" for name in [*RAW_SQL, "stg_ehp__diag"]),
+    "source_presence": _union(
+        [
+            f"select '{name}' as table_name, cast({1 + (name == 'stg_ehp__diag')} as bigint) as n_files, "
+            f"count(*) as row_count from {name}"
+            for name in [*RAW_SQL, "stg_ehp__diag"]
+        ]
+    ),
+    "catalog_listing": _union(
+        [
+            f"select 'analytics_marts' as layer, '{mart}' as table_name, count(*) as row_count from {mart}"
+            for mart in SURROGATE_KEYS
+        ]
+    ),
     "calendar_series": """
 select h.tanggal, count(v.refr_no) as jumlah_kunjungan
 from hari_kalender h left join stg_kunjungan v on v.tanggal_masuk = h.tanggal group by h.tanggal""",

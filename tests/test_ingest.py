@@ -8,9 +8,10 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-from wardmart.plans.catalog import listing, publish
+from wardmart.plans.catalog import publish, publish_views, view_text
+from wardmart.plans.layers import listing
 from wardmart.plans.refresh import refresh
-from wardmart.plans.star import MARTS
+from wardmart.plans.star import MARTS, Star
 from wardmart.session import table_root
 from wardmart.sources.ingest import read_csv, read_csv_counted, require_rows, row_counts, source_files
 from wardmart.sources.projections import raw_tables
@@ -142,3 +143,27 @@ def test_archive_to_star(spark, archive, star):
     assert "dw_load_date" in spark.table("stg_departemen").columns
     assert not [n for n in spark.table("int_kunjungan_enriched").columns if n.endswith("_key")]
     assert "_row_id" not in spark.table("int_pasien_dengan_asuransi").columns
+
+    with pytest.raises(ValueError, match="persistent catalog"):
+        publish(built, lasting=True)  # the catalog of the tests is in memory
+    publish_views(built)
+    for view in ("analytics_staging.stg_pasien", "analytics_intermediate.int_dokter_per_kunjungan"):
+        name = view.split(".")[1]
+        text = spark.sql(f"show create table {view}").first()[0]
+        assert view_text(built, name) in text
+        assert f"parquet.`{built.store.path(name)}`" in text
+        assert spark.table(view).columns == spark.table(name).columns
+        assert spark.table(view).exceptAll(spark.table(name)).isEmpty()
+        assert spark.table(view).count() == spark.table(name).count()
+    before = spark.table("analytics_staging.stg_pasien").count()
+    built.store.write("stg_pasien", built.store.read("stg_pasien").limit(1))
+    assert spark.table("analytics_staging.stg_pasien").count() == before
+    spark.sql(f"create or replace view analytics_staging.stg_pasien as {view_text(built, 'stg_pasien')}")
+    assert spark.table("analytics_staging.stg_pasien").count() == 1
+
+
+def test_an_in_memory_catalog_is_refused_before_anything_is_built(spark):
+    star = Star({}, TableStore(spark, table_root(spark)))
+    with pytest.raises(ValueError, match="persistent catalog"):
+        publish(star, lasting=True)
+    assert star.store.names() == []

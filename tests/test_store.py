@@ -67,3 +67,17 @@ def test_partitions_come_back_as_a_column(spark, store):
     table = store.write("t", spark.range(10).withColumn("p", (F.col("id") % 3).cast("int")), "p")
     assert table.where("p = 1").count() == 3
     assert files_read(table.where("p = 1")) < files_read(table)
+
+
+def test_rows_are_counted_from_footers(spark, store):
+    store.write("plain", spark.range(70))
+    store.write("parted", spark.range(10).withColumn("p", (F.col("id") % 3).cast("int")), "p")
+    store.write("empty", spark.range(0))
+    store.write("plain", spark.range(50))
+    counts = store.row_counts(["plain", "parted", "empty"])
+    text = counts._jdf.queryExecution().executedPlan().toString()
+    assert text.count("PushedAggregation: [COUNT(*)]") == 3
+    assert "ReadSchema: struct<count(*):bigint>" in text
+    assert "struct<id" not in text
+    assert {r["table_name"]: r["row_count"] for r in counts.collect()} == {"plain": 50, "parted": 10, "empty": 0}
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")

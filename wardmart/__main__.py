@@ -10,7 +10,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from wardmart.operators import quality
-from wardmart.plans.catalog import publish
+from wardmart.plans.catalog import outlives_session, publish
 from wardmart.plans.refresh import refresh
 
 
@@ -21,7 +21,10 @@ def main(archive: str, root: str) -> None:
     tests.where("status = 'fail'").show(100, truncate=False)
     quality.summary(star.build()).show(truncate=False)
     quality.require_integrity(star.build())
-    publish(star)
+    lasting = outlives_session(spark)
+    publish(star, lasting)
+    if not lasting:
+        print("the catalog is in memory: the tables stay as files below", root, "and the views end here")
 
 
 if __name__ == "__main__":

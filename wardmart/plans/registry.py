@@ -13,6 +13,7 @@ from wardmart.functions.skew import hot_keys
 from wardmart.operators import quality
 from wardmart.operators.intermediate import int_kunjungan_enriched
 from wardmart.plans import business, dashboard, report, steps
+from wardmart.plans.layers import listed_rows
 from wardmart.plans.star import LOAD_COLUMNS, Star
 from wardmart.sources.ingest import row_counts
 
@@ -60,8 +61,10 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     # scans and sources
     "ingest_csv_dropmalformed": steps.ingest_csv,
     "raw_diag_union": steps.raw_diag_union,
+    "source_presence": steps.source_presence,
     "raw_row_counts": lambda star: row_counts(star.raw),
     "calendar_series": steps.calendar_series,
+    "catalog_listing": listed_rows,
     "mart_row_counts": _on_marts(report.mart_row_counts),
     "adhoc_sql_marts": lambda star: star.sql(steps.ADHOC_SQL),
     "preview_dim_tanggal": _on_marts(report.preview_visit_days),

@@ -9,27 +9,17 @@ from pyspark.sql import functions as F
 
 from wardmart.functions.scalar import count_where, percent, rows
 from wardmart.plans.business import Marts, in_order
-from wardmart.plans.star import KEYS, LOAD_COLUMNS, MARTS
+from wardmart.plans.star import KEYS, LOAD_COLUMNS, Star
+from wardmart.sources.ingest import with_total
 
 c = F.col
 
 
-def mart_row_counts(m: Marts) -> DataFrame:
+def mart_row_counts(star: Star) -> DataFrame:
     """Rows per mart with its layer, and the total."""
-    counts = reduce(
-        DataFrame.unionByName,
-        [
-            m[name].agg(rows().alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-            for name in MARTS
-        ],
-    )
-    rolled = counts.rollup("table_name").agg(F.sum("row_count").alias("row_count"))
-    layer = F.when(c("table_name").startswith("dim"), "DIM").when(c("table_name").isNotNull(), "FCT")
-    return rolled.select(
-        F.coalesce(layer, F.lit("TOTAL")).alias("layer"),
-        F.coalesce("table_name", F.lit("TOTAL")).alias("table_name"),
-        "row_count",
-    )
+    name = c("table_name")
+    layer = F.when(name.startswith("dim"), "DIM").when(name.startswith("fct"), "FCT").otherwise(name)
+    return with_total(star.row_counts()).select(layer.alias("layer"), "table_name", "row_count")
 
 
 def report_date_range(m: Marts) -> DataFrame:

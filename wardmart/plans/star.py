@@ -180,6 +180,10 @@ class Star:
                 list(jobs.map(inheritable_thread_target(self.spark)(self.table), layer))
         return {name: self.table(name) for name in names}
 
+    def row_counts(self) -> DataFrame:
+        """(table_name, row_count) of the marts, which are built first."""
+        return self.store.row_counts(list(self.build()))
+
     def sql(self, text: str) -> DataFrame:
         """Ad-hoc SQL over the marts, each visible under its own name."""
         for name, df in self.build().items():

@@ -26,8 +26,8 @@ from wardmart.operators import facts, intermediate, nearest
 from wardmart.operators.dimensions import calendar_days
 from wardmart.plans.business import in_order
 from wardmart.plans.star import Star
-from wardmart.sources.ingest import read_csv
-from wardmart.sources.schemas import raw_schema
+from wardmart.sources.ingest import read_csv, source_files
+from wardmart.sources.schemas import RAW_FILES, raw_schema
 
 c = F.col
 
@@ -61,6 +61,29 @@ def ingest_csv(star: Star) -> DataFrame:
     return star.store.write("raw_visits", loaded)
 
 
+def source_presence(star: Star) -> DataFrame:
+    """Raw tables written as the files of an archive; the files found there, and their lines, per table.
+
+    The table that comes in two files is dealt over both by the hash of its rows.
+    """
+    archive = f"{star.store.root}/archive"
+    lines = []
+    for name, files in RAW_FILES.items():
+        raw = star.raw[name]
+        text = raw.select(*[c(column).cast("string").alias(column) for column in raw.columns])
+        share = F.pmod(F.hash(*raw.columns), F.lit(len(files)))
+        for number, file in enumerate(files):
+            path = f"{archive}/{file}"
+            part = text.where(share == number).write.mode("overwrite")
+            part.option("header", True).option("escape", '"').csv(path)
+            read = star.spark.read.schema(text.schema).option("header", True).option("escape", '"').csv(path)
+            counted = read.agg(rows().alias("row_count"))
+            lines.append(counted.select(F.lit(name).alias("table_name"), F.lit(file).alias("file"), "row_count"))
+    found = source_files(star.spark, archive).groupBy("file").agg(F.sum("bytes").alias("bytes"))
+    present = reduce(DataFrame.unionByName, lines).join(found.where("bytes > 0"), "file")
+    return present.groupBy("table_name").agg(rows().alias("n_files"), F.sum("row_count").alias("row_count"))
+
+
 def calendar_series(star: Star) -> DataFrame:
     """Every calendar day with the visits arriving on it."""
     arrivals = star.staging("stg_kunjungan").groupBy(c("tanggal_masuk").alias("tanggal"))

@@ -121,11 +121,13 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
             for name, df in sorted(tables.items())
         ],
     )
-    return (
-        counts.rollup("table_name")
-        .agg(F.sum("row_count").alias("row_count"))
-        .select(F.coalesce("table_name", F.lit("TOTAL")).alias("table_name"), "row_count")
-    )
+    return with_total(counts)
+
+
+def with_total(counts: DataFrame) -> DataFrame:
+    """(table_name, row_count) with a last row for all tables."""
+    rolled = counts.rollup("table_name").agg(F.sum("row_count").alias("row_count"))
+    return rolled.select(F.coalesce("table_name", F.lit("TOTAL")).alias("table_name"), "row_count")
 
 
 def require_rows(tables: dict[str, DataFrame]) -> None:
