@@ -224,7 +224,9 @@ def surrogate_key_dense(star: Star) -> DataFrame:
     """Team members numbered 1..n over the whole table."""
     members = with_row_id(star.staging("stg_tim_medis").drop("is_dokter"))
     order = [name for name in members.columns if name != ROW_ID]
-    return dense_key(star.store, "tim_medis", members, order, "anggota_key")
+    numbered = star.store.write("tim_medis", dense_key(star.store, "tim_medis", members, order, "anggota_key"))
+    star.store.release("tim_medis__ordered")
+    return numbered
 
 
 def window_rank_global(star: Star) -> DataFrame:
