@@ -313,7 +313,8 @@ def test_chat_round_trip(spark):
 
 def test_sql_gives_the_same(spark):
     con = oracle_connection(SF_DIR)
-    con.execute(f"create view conversations as select * from '{SF_DIR}/conversations.parquet'")
+    for view in ("conversations", "documents"):
+        con.execute(f"create view {view} as select * from '{SF_DIR}/{view}.parquet'")
     for name, sql in queries.ORACLE.items():
         assert differences(queries.QUERIES[name](spark, SF_DIR), con, sql) == []
 
