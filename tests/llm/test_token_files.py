@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import zlib
 
 import numpy as np
@@ -13,7 +14,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from wardmart.llm import tokenfile
-from wardmart.llm.grammar import Grammar, repair
+from wardmart.llm.encode import merge_all
+from wardmart.llm.grammar import SHORT, Grammar, _bits, _unbits, repair
+from wardmart.llm.tokens import merge_table
 from wardmart.session import table_root
 
 PATH = public_tokenizers.path(tokenfile.VOCABULARY)
@@ -105,3 +108,59 @@ def test_a_run_of_one_id_halves():
     made = repair(np.zeros(1 << 14, np.int64), np.array([1 << 14]), 1)
     assert len(made.symbols) <= 16
     assert made.decode().tolist() == [0] * (1 << 14)
+
+
+def cpu_seconds(*runs) -> list[float]:
+    """Of the fastest of five times, in turn."""
+    spent = []
+    for run in runs * 5:
+        start = time.process_time()
+        run()
+        spent.append(time.process_time() - start)
+    return [min(spent[k :: len(runs)]) for k in range(len(runs))]
+
+
+def test_a_round_costs_what_may_still_be_frequent():
+    """Twelve more rounds, for a run of one id, each cost less than to copy a long block of rare pairs."""
+    block = np.random.default_rng(3).integers(1, 50_000, 3_000_000)
+    run = np.append(block, np.zeros(1 << 15, np.int64))
+    other = run > 0
+    alone, both, copy = cpu_seconds(
+        lambda: repair(block, np.array([len(block)]), 50_000),
+        lambda: repair(run, np.array([len(run)]), 50_000),
+        lambda: run[other],
+    )
+    assert repair(run, np.array([len(run)]), 50_000).spans.max() >= 1 << 11
+    assert both - alone < 12 * copy
+
+
+def test_documents_of_long_rules_are_decoded_one_by_one():
+    rng = np.random.default_rng(4)
+    phrase = rng.integers(0, 50, 3000)
+    docs = [np.tile(phrase, k) for k in (1, 30, 0, 2)] + [np.zeros(5000, np.int64), phrase[:700]]
+    ids, ends = np.concatenate(docs), np.cumsum([len(d) for d in docs])
+    made = Grammar.unpack(repair(ids, ends, 50).pack())
+    assert made.spans.max() > SHORT
+    assert made.decode().tolist() == ids.tolist()
+    for k, doc in enumerate(docs):
+        assert made.decode(k, k + 1).tolist() == doc.tolist()
+
+
+@pytest.mark.parametrize("width", range(1, 33))
+def test_numbers_of_any_width(width):
+    for count in (0, 1, 7, 8, 1000):
+        numbers = np.random.default_rng(count).integers(0, 1 << width, count)
+        data = b"..." + _bits(numbers, width)
+        assert _unbits(data, 3, count, width).tolist() == numbers.tolist()
+
+
+def test_pre_tokens_of_any_length_are_merged_alike():
+    table, rng = merge_table(PATH), np.random.default_rng(5)
+    for letters in (b"aeinrst", b"a", bytes(range(256))):
+        lengths = rng.integers(0, 45, 500)
+        ids = table.byte[rng.choice(np.frombuffer(letters, np.uint8), lengths.sum())]
+        for some in (slice(0, 0), slice(0, 1), slice(None)):
+            part = ids[: lengths[some].sum()]
+            wanted = table.encode(part, lengths[some])
+            for got, other in zip(merge_all(table, part, lengths[some]), wanted, strict=True):
+                assert got.tolist() == other.tolist()

@@ -111,7 +111,7 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     ends = np.cumsum(lengths)
     if not len(ends) or not ends[-1]:
         return np.zeros(0, np.int64)
-    return np.arange(ends[-1]) - np.repeat(ends - lengths, lengths) + np.repeat(starts, lengths)
+    return np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)
 
 
 def held_out(doc_id: int | None) -> bool:

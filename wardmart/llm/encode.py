@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -69,18 +70,22 @@ UNRANKED = np.int32(2**31 - 1)
 def ranks(table: MergeTable, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Rank of each pair, UNRANKED without one. Few pairs meet another one in their slot and look further."""
     key = left.astype(np.int64) * table.size + right
-    result = np.full(len(key), UNRANKED)
-    open_ = np.arange(len(key))
+    result, open_ = np.full(len(key), UNRANKED), None
     for factor, level in table.levels:
-        at = level[MergeTable._slot(key[open_], factor)]
-        found = table.keys[at] == key[open_]
-        result[open_[found]] = at[found]
-        open_ = open_[~found & (at < len(table.keys) - 1)]
+        some = key if open_ is None else key[open_]
+        at = level[MergeTable._slot(some, factor)]
+        found = table.keys[at] == some
+        if open_ is None:
+            np.copyto(result, at, where=found)
+            open_ = np.flatnonzero(found < (at < len(table.keys) - 1))
+        else:
+            result[open_[found]] = at[found]
+            open_ = open_[found < (at < len(table.keys) - 1)]
     return result
 
 
-def merge_all(table: MergeTable, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Surviving symbols of all pre-tokens, one after the other, and how many each has.
+def _merge_long(table: MergeTable, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pre-token of each surviving symbol, symbol); the symbols of one are in order.
 
     The same rounds as ``MergeTable.encode``; the rank of a pair is looked up again only
     where one of its symbols is new.
@@ -117,8 +122,101 @@ def merge_all(table: MergeTable, ids: np.ndarray, lengths: np.ndarray) -> tuple[
         rank[new] = UNRANKED
         changed = changed[owner[changed] == owner[changed + 1]]
         rank[changed] = ranks(table, ids[changed], ids[changed + 1])
-    owner, ids = joined(done_owner, np.int32), joined(done_ids, np.int32)
-    return ids[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(lengths))
+    return joined(done_owner, np.int32), joined(done_ids, np.int32)
+
+
+SHORT = 32
+"""Pre-tokens of up to so many bytes are merged in columns. Places are five bits of a pair's order."""
+
+COLUMNS = 8192
+"""Pre-tokens merged at the same time: their columns stay in the processor's cache."""
+
+LAST = np.int32(2**30)
+"""Comes after the order of every pair that has a rank."""
+
+
+def merge_all(table: MergeTable, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Surviving symbols of all pre-tokens, one after the other, and how many each has."""
+    sizes, starts = np.zeros(len(lengths), np.int64), np.cumsum(lengths) - lengths
+    # The order of a column's pairs has room for 2 ** 25 ranks.
+    most = SHORT if len(table.keys) < LAST >> 5 else 0
+    done = []
+    for length in np.flatnonzero(np.bincount(np.minimum(lengths, most + 1), minlength=1)[1 : most + 1]) + 1:
+        words = np.flatnonzero(lengths == length)
+        for some in np.split(words, range(COLUMNS, len(words), COLUMNS)):
+            for which, symbols, size in _merge_columns(table, ids[starts[some] + np.arange(length)[:, None]]):
+                sizes[some[which]] = size
+                done.append((some[which], symbols, size))
+    long = np.flatnonzero(lengths > most)
+    owner, symbols = _merge_long(table, ids[ranges(starts[long], lengths[long])], lengths[long])
+    sizes[long] = np.bincount(owner, minlength=len(long))
+    ends = np.cumsum(sizes)
+    result = np.zeros(ends[-1] if len(ends) else 0, np.int32)
+    for words, columns, size in done:
+        at = ends[words] - size
+        for place in range(size.max()):
+            there = size > place
+            result[at[there] + place] = columns[place, there]
+    result[ranges(ends[long] - sizes[long], sizes[long])] = symbols[np.argsort(owner, kind="stable")]
+    return result, sizes
+
+
+def _merge_columns(table: MergeTable, symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(which, symbols, how many of them) of pre-tokens of one length, a column each, as they get done.
+
+    A round merges the leftmost of the pairs with the lowest rank in each column.
+    """
+    length, count = symbols.shape
+    symbols = np.ascontiguousarray(symbols, np.int32)
+    which, size = np.arange(count), np.full(count, length, np.int32)
+    order = np.full(symbols.shape, LAST)  # 32 times the rank of the pair that begins here
+    first, pairs = _first_order(table)
+    if symbols.max() < first:
+        order[:-1] = pairs[symbols[:-1] * np.int32(first) + symbols[1:]]
+    else:
+        order[:-1] = _order(table, symbols[:-1].ravel(), symbols[1:].ravel()).reshape(length - 1, count)
+    while len(which):
+        best = order[0].copy()
+        for place in range(1, len(order) - 1):
+            np.minimum(best, order[place] + np.int32(place), out=best)
+        ended = best >= LAST
+        if 4 * np.count_nonzero(ended) >= len(which):
+            done, left = np.flatnonzero(ended), np.flatnonzero(~ended)
+            yield which[done], symbols.take(done, 1), size[done]
+            which, size, best = which[left], size[left], best[left]
+            longest = size.max(initial=0)
+            symbols, order = symbols[:longest].take(left, 1), order[:longest].take(left, 1)
+            column = np.arange(len(left))
+            place = best & 31
+        else:
+            column = np.flatnonzero(~ended)
+            place = np.where(ended, length, best & 31)
+        # What stands after a merged pair moves up by one row.
+        for row in range(1, len(symbols) - 1):
+            later = (place - row) >> 31
+            for values in (symbols, order):
+                values[row] += (values[row + 1] - values[row]) & later
+        size[column] -= 1
+        place, ends, width = place[column].astype(np.int64), size[column], len(which)
+        flat_symbols, flat_order = symbols.reshape(-1), order.reshape(-1)
+        at = place * width + column
+        merged = table.results[best[column] >> 5]
+        flat_symbols[at] = merged
+        flat_order[at] = flat_order[ends * width + column] = LAST
+        there = place + 1 < ends
+        begin = np.concatenate([at[there], at[place > 0] - width])
+        flat_order[begin] = _order(table, flat_symbols[begin], flat_symbols[begin + width])
+
+
+@lru_cache(maxsize=2)
+def _first_order(table: MergeTable) -> tuple[int, np.ndarray]:
+    """The order of all pairs of the first ids, where the bytes of most vocabularies are."""
+    first = np.arange(256, dtype=np.int32)
+    return 256, _order(table, np.repeat(first, 256), np.tile(first, 256))
+
+
+def _order(table: MergeTable, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return np.minimum(ranks(table, left, right), LAST >> 5) << 5
 
 
 class ByteVocabulary:
@@ -156,6 +254,8 @@ class ByteVocabulary:
         for word in self.special if special else ():
             odd = pc.or_(odd, pc.match_substring(texts, word))
         odd = odd.to_numpy(zero_copy_only=False)
+        if not odd.any():
+            return self._cut(texts)
         result = Ragged(len(texts))
         whole = np.flatnonzero(odd)
         result.put(whole, *self._whole(texts.take(pa.array(whole)).to_pylist(), special))
