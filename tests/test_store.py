@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
+import time
 
 import pytest
 from compare import files_read
 from pyspark.sql import functions as F
 
 from wardmart.session import table_root
-from wardmart.sources.store import TableStore
+from wardmart.sources.store import SHUFFLE_CLEANUP, TableStore
 
 
 @pytest.fixture
@@ -81,3 +82,23 @@ def test_rows_are_counted_from_footers(spark, store):
     assert "struct<id" not in text
     assert {r["table_name"]: r["row_count"] for r in counts.collect()} == {"plain": 50, "parted": 10, "empty": 0}
     assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+
+
+def _shuffle_files(spark) -> set[str]:
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    names = [os.path.basename(path) for path in blocks.getAllFiles().mkString("\n").split("\n")]
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark, store):
+    """Neither a plain nor a bucketed write leaves any, and the session keeps its setting."""
+    setting, before = spark.conf.get(SHUFFLE_CLEANUP), _shuffle_files(spark)
+    counts = spark.range(1000).groupBy((F.col("id") % 50).alias("k")).count()
+    store.write("plain", counts)
+    store.write_bucketed("dealt", counts, "k", 4)
+    deadline = time.time() + 10
+    while _shuffle_files(spark) - before and time.time() < deadline:
+        time.sleep(0.1)
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting
+    assert store.read("plain").count() == store.read("dealt").count() == 50
