@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 from datetime import datetime
 
 import duckdb
@@ -139,3 +140,18 @@ def test_other_session_settings_give_the_same_facts(spark, star):
 def test_fact_columns_are_listed_once():
     for columns in (facts.FCT_KUNJUNGAN, facts.FCT_DIAGNOSIS, facts.FCT_TINDAKAN_MEDIS):
         assert len(columns) == len(set(columns))
+
+
+def test_facts_are_built_one_after_another(spark):
+    """Their shuffles and copies then do not take disk at the same time."""
+    running, most = [], []
+
+    class Timed(Star):
+        def table(self, name):
+            running.append(name)
+            most.append(len([n for n in running if n in FACTS]))
+            time.sleep(0.05)
+            running.remove(name)
+
+    Timed({}, TableStore(spark, table_root(spark))).build()
+    assert max(most) == 1
