@@ -93,6 +93,14 @@ def test_details_meet_visit_keys_without_moving_them(spark, star):
     assert not [line for line in above if "Exchange" in line]
 
 
+def test_sound_keys_are_not_looked_at_again(star):
+    """Whether any key is missing is known before the rows of a fact are read again and shuffled."""
+    found = QUERIES["dq_referential"](star)
+    again = [line for line in plan(found).splitlines() if re.search(r"Filter .*Subquery subquery#\d+.* > 0", line)]
+    assert len(again) >= 16  # the foreign keys of the three facts
+    assert found.where("value > 0").isEmpty()
+
+
 def test_key_checks_multiply_no_rows(star):
     """Foreign keys are compared as bitmaps: no row becomes several, no key is shuffled by itself."""
     text = plan(QUERIES["dq_referential"](star))
