@@ -93,6 +93,21 @@ def test_details_meet_visit_keys_without_moving_them(spark, star):
     assert not [line for line in above if "Exchange" in line]
 
 
+def test_few_rooms_are_broadcast_by_their_count(spark, star, monkeypatch):
+    """Whatever Spark's threshold in bytes; many rooms are shuffled."""
+    star.build()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert re.search(r"BroadcastHashJoin \[rom_id#", plan(star.diagnoses()))
+        assert re.search(r"BroadcastHashJoin \[rom_id#", plan(star.keyed_visits()))
+        assert re.search(r"BroadcastHashJoin \[stf_id_dokter#", plan(star.keyed_visits()))
+        monkeypatch.setattr("wardmart.plans.star.LOOKUP_ROWS", 0)
+        assert re.search(r"SortMergeJoin \[rom_id#", plan(star.diagnoses()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_sound_keys_are_not_looked_at_again(star):
     """Whether any key is missing is known before the rows of a fact are read again and shuffled."""
     found = QUERIES["dq_referential"](star)
