@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,3 +132,25 @@ def test_adaptive_execution_splits_a_skewed_left_side(spark):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_other_keys_join_on_the_key_alone(spark):
+    """So the right side stays where its aggregate put it; only hot keys join on (key, share)."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = visits(spark).withColumn("_row", F.monotonically_increasing_id())
+        right = left.groupBy("k").agg(F.min("v").alias("first"))
+        joined = left_join_dealt(left, right, "k", "_row", hot_keys(left, "k", 100))
+        text = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"SortMergeJoin \[k#\d+\], \[k#\d+\], LeftOuter", text)
+
+
+def test_keys_are_counted_one_by_one_in_large_groups_only(spark):
+    """Without a hot key the only rows that move are sizes of groups."""
+    hot = hot_keys(visits(spark), "k")
+    assert hot.collect() == []
+    text = hot._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "hashpartitioning(k#" not in text
